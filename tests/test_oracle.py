@@ -1,0 +1,58 @@
+"""Every registered query against its SQL, over whole tables."""
+
+from __future__ import annotations
+
+import math
+from decimal import Decimal
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as contract
+
+SF_DIR = "/root/testdata/sf0.01"
+QUERIES = contract.queries()
+SQL = contract.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for file in Path(SF_DIR).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM read_parquet('{file}')")
+    return connection
+
+
+def plain(value):
+    if isinstance(value, Decimal):
+        value = float(value)
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value + 0.0)
+    return "" if value is None else repr(value)
+
+
+def sorted_rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted(tuple(plain(row[i]) for i in order) for row in rows)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_matches_sql(spark, duck, name):
+    result = QUERIES[name](spark, SF_DIR)
+    rows = [tuple(row) for row in result.collect()]
+    cursor = duck.execute(SQL[name])
+    expected_columns = [column[0] for column in cursor.description]
+    expected = cursor.fetchall()
+    assert sorted(result.columns) == sorted(expected_columns)
+    assert rows, "the fixture must exercise the query"
+    assert sorted_rows(result.columns, rows) == sorted_rows(expected_columns, expected)
+
+
+def test_every_query_has_sql():
+    assert QUERIES.keys() == SQL.keys()
+
+
+def test_entry(spark):
+    assert contract.entry(spark).columns == ["date", "hack_license", "vendor_id", "tips_sum"]
+    assert contract.entry(spark).count() == 2290

@@ -1,0 +1,67 @@
+"""From raw CSV files to one CSV directory per question."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tripledger.operators.cleaning import strip_column_names
+from tripledger.operators.profiling import profile
+from tripledger.plans.catalog import QUESTIONS, VARIANTS
+from tripledger.schema import PADDED_FARE_SCHEMA, TRIP_SCHEMA
+from tripledger.sources import materialize, read_csv, write_csv
+
+# Where the raw tables lie and the answers go, below the data directory.
+FARE_PATH = "trip_fare"
+TRIP_PATH = "trip_data"
+OUTPUT_PATH = "output"
+
+# Fare columns profiled before cleaning.
+PROFILED = ("pickup_datetime", "fare_amount", "surcharge", "medallion", "hack_license")
+
+
+def read_raw(spark: SparkSession, data_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The raw fare and trip tables, with proper column names."""
+    fare = strip_column_names(read_csv(spark, f"{data_dir}/{FARE_PATH}", PADDED_FARE_SCHEMA))
+    trip = strip_column_names(read_csv(spark, f"{data_dir}/{TRIP_PATH}", TRIP_SCHEMA))
+    return fare, trip
+
+
+def clean_copies(
+    fare: DataFrame, trip: DataFrame, clean_dir: str, mode: str = "errorifexists"
+) -> tuple[DataFrame, DataFrame]:
+    """Cleaned Parquet copies of both tables, in pickup order for day-range filters."""
+    order = ("pickup_datetime", "medallion", "hack_license")
+    return (
+        materialize(fare, f"{clean_dir}/fare", mode=mode, cluster_by=order),
+        materialize(trip, f"{clean_dir}/trip", mode=mode, cluster_by=order),
+    )
+
+
+def write_answers(
+    fare: DataFrame,
+    trip: DataFrame,
+    output_dir: str,
+    names: Iterable[str] | None = None,
+    options: Mapping[str, Mapping[str, object]] | None = None,
+    mode: str = "errorifexists",
+) -> None:
+    """Answer the named questions (all 24 by default) into one CSV directory each."""
+    known = QUESTIONS | VARIANTS
+    for name in names or QUESTIONS:
+        answer = known[name](fare, trip, **(options or {}).get(name, {}))
+        write_csv(answer, f"{output_dir}/{name}", mode=mode)
+
+
+def run(spark: SparkSession, data_dir: str, clean_dir: str | None = None, mode: str = "errorifexists") -> None:
+    """Read, profile, clean and answer everything below ``data_dir``.
+
+    The cleaned copies go to ``clean_dir`` (default: ``<data_dir>/clean``), which every executor must
+    reach, as it must reach ``data_dir``.
+    """
+    raw_fare, raw_trip = read_raw(spark, data_dir)
+    output_dir = f"{data_dir}/{OUTPUT_PATH}"
+    write_csv(profile(raw_fare, PROFILED), f"{output_dir}/fare_profile", mode=mode)
+    fare, trip = clean_copies(raw_fare, raw_trip, clean_dir or f"{data_dir}/clean", mode=mode)
+    write_answers(fare, trip, output_dir, mode=mode)
