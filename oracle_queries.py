@@ -118,8 +118,8 @@ def _profile(table: str, columns: dict[str, str]) -> str:
                 count(*) - count({name}) AS nulls,
                 count(DISTINCT {name}) + (CASE WHEN count(*) > count({name}) THEN 1 ELSE 0 END) AS "distinct",
                 {text.format('min')} AS min, {text.format('max')} AS max,
-                {f'round(avg({name}), 6)' if number else 'NULL::double'} AS mean,
-                {f'round(stddev_samp({name}), 6)' if number else 'NULL::double'} AS stddev
+                {f'round(avg({name}), 4)' if number else 'NULL::double'} AS mean,
+                {f'round(stddev_samp({name}), 4)' if number else 'NULL::double'} AS stddev
             FROM {table}"""
         )
     return " UNION ALL ".join(rows)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +20,13 @@ def profile(
 ) -> DataFrame:
     """One row per column: type, rows, nulls, distinct, min, max, mean, stddev, p25, p50, p75.
 
-    All from one aggregation of the table. ``min`` and ``max`` are text; mean, deviation and the
-    (approximate) quartiles are null for columns that are not numbers. Null counts as one distinct
-    value. Exact distinct counts make Spark feed each row once per column, so for wide or very large
-    tables ``exact_distinct=False`` takes a HyperLogLog estimate instead. ``quartiles=False`` leaves
-    the three quartile columns out.
+    ``min`` and ``max`` are text; mean, deviation and the (approximate) quartiles are null for columns
+    that are not numbers. Null counts as one distinct value. ``quartiles=False`` leaves the three
+    quartile columns out.
+
+    Everything but exact distinct counts comes from one aggregation without a shuffle of rows. Those
+    group the values of all columns of one type together, in one pass per type; with
+    ``exact_distinct=False`` they are HyperLogLog estimates from the first pass instead.
     """
     columns = list(columns or df.columns)
     kinds = {name: df.schema[name].dataType for name in columns}
@@ -33,24 +36,42 @@ def profile(
         for label, part in _statistics(name, kinds[name], exact_distinct, quartiles).items()
     ]
     # One row with a struct per column, turned into one row per column.
-    entries = [_entry(i, name, kinds[name], quartiles) for i, name in enumerate(columns)]
-    return (
+    entries = [_entry(i, name, kinds[name], exact_distinct, quartiles) for i, name in enumerate(columns)]
+    found = (
         df.agg(F.count(F.lit(1)).alias("rows"), *wanted)
         .select(F.explode(F.array(*entries)).alias("entry"))
         .select("entry.*")
     )
+    if not exact_distinct:
+        return found
+    # One row per profiled column on both sides.
+    joined = found.join(F.broadcast(distinct_counts(df, columns)), "column", "left")
+    head = ["column", "type", "rows", "nulls"]
+    return joined.select(
+        *head,
+        F.coalesce("distinct", F.lit(0)).alias("distinct"),
+        *[name for name in found.columns if name not in head],
+    )
+
+
+def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column, distinct): exact number of different values, null being one.
+
+    No row for any column of an empty table.
+    """
+    by_type: dict[DataType, list[str]] = {}
+    for name in columns or df.columns:
+        by_type.setdefault(df.schema[name].dataType, []).append(name)
+    values = [df.select(*names).unpivot([], names, "column", "value").distinct() for names in by_type.values()]
+    counts = [v.groupBy("column").agg(F.count(F.lit(1)).alias("distinct")) for v in values]
+    return reduce(DataFrame.unionAll, counts)
 
 
 def _statistics(name: str, kind: DataType, exact_distinct: bool, quartiles: bool) -> dict[str, Column]:
     column = F.col(f"`{name}`")
-    has_null = F.coalesce(F.max(column.isNull().cast("int")), F.lit(0))
-    distinct = F.count_distinct(column) if exact_distinct else F.approx_count_distinct(column)
-    found = {
-        "nulls": F.count_if(column.isNull()),
-        "distinct": distinct + has_null,
-        "min": F.min(column),
-        "max": F.max(column),
-    }
+    found = {"nulls": F.count_if(column.isNull()), "min": F.min(column), "max": F.max(column)}
+    if not exact_distinct:
+        found["distinct"] = F.approx_count_distinct(column) + F.coalesce(F.max(column.isNull().cast("int")), F.lit(0))
     if isinstance(kind, NumericType):
         found |= {"mean": F.avg(column), "stddev": F.stddev(column)}
         if quartiles:
@@ -58,7 +79,7 @@ def _statistics(name: str, kind: DataType, exact_distinct: bool, quartiles: bool
     return found
 
 
-def _entry(i: int, name: str, kind: DataType, quartiles: bool) -> Column:
+def _entry(i: int, name: str, kind: DataType, exact_distinct: bool, quartiles: bool) -> Column:
     def value(label: str) -> Column:
         return F.col(f"{i}_{label}")
 
@@ -69,7 +90,7 @@ def _entry(i: int, name: str, kind: DataType, quartiles: bool) -> Column:
         F.lit(kind.simpleString()).alias("type"),
         F.col("rows"),
         value("nulls").alias("nulls"),
-        value("distinct").alias("distinct"),
+        *([] if exact_distinct else [value("distinct").alias("distinct")]),
         _text(value("min"), kind).alias("min"),
         _text(value("max"), kind).alias("max"),
         (value("mean").cast("double") if numeric else nothing).alias("mean"),
