@@ -1,0 +1,128 @@
+"""Shape of the physical plans: what is pushed down, pruned, broadcast or kept out of one task."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripledger.operators.extremes import max_per_group
+from tripledger.operators.totals import attach_group_total
+from tripledger.plans.catalog import QUESTIONS, VARIANTS
+from tripledger.plans.pipeline import clean_copies
+from tripledger.sources.lineitem import fare_table, trip_table
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+def executed(df):
+    """The plan as adapted at run time."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def copies(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("copy"))
+    return clean_copies(fare_table(spark, SF_DIR), trip_table(spark, SF_DIR), folder)
+
+
+def test_day_range_reaches_the_scan(copies):
+    text = plan(QUESTIONS["earnings_by_day"](*copies))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(pickup_datetime,.*LessThan\(pickup_datetime,", text)
+    assert re.search(r"ReadSchema: struct<vendor_id:string,pickup_datetime:timestamp_ntz,total_amount:double>", text)
+
+
+@pytest.mark.parametrize(
+    ("name", "columns"),
+    [
+        ("revenue_by_vendor", {"vendor_id", "total_amount"}),
+        ("mean_duration_by_rate_code", {"rate_code", "trip_time_in_secs"}),
+        ("top_cash_tips", {"vendor_id", "payment_type", "tip_amount"}),
+        ("simultaneous_trips", {"pickup_datetime", "dropoff_datetime"}),
+        ("most_popular_payment_type", {"payment_type"}),
+    ],
+)
+def test_only_needed_columns_are_read(copies, name, columns):
+    schemas = re.findall(r"ReadSchema: struct<(.*)>", plan(QUESTIONS[name](*copies)))
+    read = {field.split(":")[0] for schema in schemas for field in schema.split(",")}
+    assert schemas
+    assert read == columns
+
+
+@pytest.mark.parametrize("name", ["best_tip_weekday", "top_drivers_by_vendor", "driver_of_each_day", "top_cash_tips"])
+def test_ranks_are_pruned_before_the_shuffle(copies, name):
+    text = plan(QUESTIONS[name](*copies))
+    assert "WindowGroupLimit" in text
+    assert "Partial" in text
+
+
+@pytest.mark.parametrize("name", ["simultaneous_trips", "top_drivers_by_time", "most_popular_payment_type", "highest_fare", "top_totals_of_large_parties"])
+def test_top_rows_need_no_full_sort(copies, name):
+    text = plan(QUESTIONS[name](*copies))
+    assert "TakeOrderedAndProject" in text
+    assert "rangepartitioning" not in text
+
+
+def test_null_keys_are_dropped_in_the_scan(copies):
+    text = plan(QUESTIONS["driver_of_each_day"](*copies))
+    assert len(re.findall(r"PushedFilters: \[.*IsNotNull\(medallion\).*IsNotNull\(pickup_datetime\)", text)) == 2
+
+
+def test_sides_are_folded_before_they_are_joined(copies):
+    """Each side of the join has a partial aggregation below its shuffle."""
+    for name in ("driver_of_each_day", "fare_per_second_by_vendor", "rides_by_rate_code", "top_drivers_by_vendor"):
+        text = QUESTIONS[name](*copies)._jdf.queryExecution().executedPlan().toString()
+        scans = [i for i, line in enumerate(text.splitlines()) if "FileScan" in line]
+        lines = text.splitlines()
+        assert len(scans) == 2
+        for i in scans:
+            above = [line for line in lines[:i] if "Exchange" in line or "partial_" in line]
+            assert "partial_" in above[-1]
+
+
+def test_only_days_meet_in_one_task(copies):
+    """The unpartitioned window of the running count works on one row per day."""
+    text = VARIANTS["peak_concurrency"](*copies)._jdf.queryExecution().executedPlan().toString()
+    lines = text.splitlines()
+    single = [i for i, line in enumerate(lines) if "Exchange SinglePartition" in line]
+    assert len(single) == 1
+    below = next(line for line in lines[single[0] + 1 :] if "Aggregate" in line)
+    assert re.search(r"keys=\[day#\d+\]", below)
+
+
+def test_few_groups_are_looked_up_without_moving_rows(copies):
+    """Totals of weekday and payment type reach the rows by broadcast."""
+    fare, trip = copies
+    text = QUESTIONS["rides_with_weekday_revenue"](fare, trip)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text
+    assert "SortMergeJoin" not in text
+    assert "CartesianProduct" not in text
+    assert "BroadcastNestedLoopJoin" not in text
+
+
+def test_broadcasts_are_bounded(copies):
+    fare, _ = copies
+    text = attach_group_total(fare, ["payment_type"], "total_amount", "t")._jdf.queryExecution().executedPlan().toString()
+    lines = text.splitlines()
+    broadcasts = [i for i, line in enumerate(lines) if "BroadcastExchange" in line]
+    assert broadcasts
+    for i in broadcasts:
+        assert any("TakeOrderedAndProject(limit=4096" in line for line in lines[i + 1 : i + 5])
+
+
+def test_no_question_uses_a_cross_join_or_python(copies):
+    for question in (QUESTIONS | VARIANTS).values():
+        text = question(*copies)._jdf.queryExecution().executedPlan().toString()
+        for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "MapInPandas", "ObjectHashAggregate"):
+            assert word not in text
+
+
+def test_a_tied_group_stays_whole(spark):
+    df = spark.range(10_000).select(F.lit("g").alias("g"), F.col("id"), F.lit(1.0).alias("v"))
+    assert max_per_group(df, ["g"], "v").count() == 10_000

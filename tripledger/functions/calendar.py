@@ -24,7 +24,8 @@ def weekday_name(number: Column | str) -> Column:
     Group on the number and name the few groups afterwards: no text is then made per ride.
     """
     number = F.col(number) if isinstance(number, str) else number
-    return F.element_at(F.array(*[F.lit(name) for name in WEEKDAY_NAMES]), number)
+    # Not element_at: on an array without nulls it takes its result for never null, even for a null index.
+    return F.get(F.array(*[F.lit(name) for name in WEEKDAY_NAMES]), number - 1)
 
 
 def day_string(day: Column | str) -> Column:
