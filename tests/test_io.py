@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from samples import comparable, fare_frame, fare_rows, rows_of, trip_frame, trip_rows
 
 from tripledger.plans.catalog import QUESTIONS
@@ -80,6 +81,22 @@ def test_materialize_cleans_once(spark, tmp_path, order):
     assert stored.schema == df.schema
 
 
+def test_a_repeated_value_does_not_fill_one_partition(spark, tmp_path):
+    """Half of the rows lack the time they are clustered by."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, F.timestamp_seconds("id")).alias("t"), F.col("id").cast("string").alias("x")
+    )
+    # Partitions as small as these would otherwise be merged at run time.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cleaned = materialize(df, str(tmp_path / "t"), cluster_by=["t"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in cleaned.where("t is null").groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 10_000
+    assert max(sizes) < 5_000
+
+
 def test_scratch_path_is_below_the_shared_folder(spark):
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first != second

@@ -8,7 +8,8 @@ from collections import Counter, defaultdict
 import pytest
 from samples import comparable, fare, fare_frame, fare_rows, rows_of, trip, trip_frame, trip_rows
 
-from tripledger.plans.catalog import QUESTIONS, VARIANTS
+from tripledger.plans.catalog import ON_RIDE_TOTALS, QUESTIONS, VARIANTS
+from tripledger.plans.rides import ride_totals
 from tripledger.schema import FARE_COLUMNS, RIDE_KEYS
 
 ALL = QUESTIONS | VARIANTS
@@ -317,6 +318,13 @@ def test_matches_plain_python(tables, name):
     assert comparable(rows_of(ALL[name](fare_df, trip_df))) == comparable(expected)
 
 
+@pytest.mark.parametrize("name", ON_RIDE_TOTALS)
+def test_stored_ride_totals_give_the_same(tables, name):
+    fares, trips, fare_df, trip_df = tables
+    found = QUESTIONS[name](fare_df, trip_df, totals=ride_totals(fare_df, trip_df))
+    assert comparable(rows_of(found)) == comparable(globals()[name](fares, trips))
+
+
 def test_amounts_are_compared_as_text_or_as_numbers(spark):
     tips = [("a", 1, 9.0), ("a", 2, 1234.5), ("a", 3, 10000.0)]
     df = fare_frame(

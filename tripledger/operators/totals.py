@@ -63,15 +63,20 @@ def attach_group_sums(
     groups everything goes the first way and no row is shuffled; with as many groups as rows
     everything goes the second.
     """
-    own = {key: f"_large_{key}" for key in keys}
-    large = large_groups(df, keys, sums, max_groups, buckets).withColumnsRenamed(own)
+    own = {name: f"_large_{name}" for name in (*keys, *sums)}
+    large = large_groups(df, keys, sums, max_groups, buckets).withColumns({"_large": F.lit(True)}).withColumnsRenamed(own)
     in_group = F.lit(True)
-    for key, large_key in own.items():
-        in_group = in_group & F.col(key).eqNullSafe(F.col(large_key))
+    for key in keys:
+        in_group = in_group & F.col(key).eqNullSafe(F.col(own[key]))
+    marked = df.join(F.broadcast(large), in_group, "left")
+    known = {name: F.col(own[name]) for name in sums}
     window = Window.partitionBy(*keys)
-    looked_up = df.join(F.broadcast(large), in_group, "inner").drop(*own.values())
-    summed = df.join(F.broadcast(large.select(*own.values())), in_group, "left_anti").select(
-        "*", *[F.sum(column).over(window).alias(name) for name, column in sums.items()]
+    looked_up = marked.where(F.col("_large").isNotNull()).select(*df.columns, *[c.alias(n) for n, c in known.items()])
+    # In the second branch the known sums are null. Naming them keeps both broadcasts alike, so that
+    # Spark makes one and uses it twice.
+    summed = marked.where(F.col("_large").isNull()).select(
+        *df.columns,
+        *[F.coalesce(known[name], F.sum(column).over(window)).alias(name) for name, column in sums.items()],
     )
     return looked_up.unionByName(summed)
 

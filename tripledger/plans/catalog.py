@@ -62,3 +62,6 @@ VARIANTS: dict[str, Question] = {
     "best_tip_weekday_numeric": _fare(fares.best_tip_weekday_numeric),
     "top_drivers_by_vendor_numeric": _both(rides.top_drivers_by_vendor_numeric),
 }
+
+# Questions that also work on a stored `rides.ride_totals` table, given as ``totals``.
+ON_RIDE_TOTALS = ("rides_by_rate_code", "driver_of_each_day", "fare_per_second_by_vendor")

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripledger.operators.cleaning import strip_column_names
 from tripledger.operators.profiling import profile
-from tripledger.plans.catalog import QUESTIONS, VARIANTS
+from tripledger.plans.catalog import ON_RIDE_TOTALS, QUESTIONS, VARIANTS
+from tripledger.plans.rides import ride_totals
 from tripledger.schema import PADDED_FARE_SCHEMA, TRIP_SCHEMA
-from tripledger.sources import materialize, read_csv, write_csv
+from tripledger.sources import materialize, read_csv, read_parquet, write_csv, write_parquet
 
 # Where the raw tables lie and the answers go, below the data directory.
 FARE_PATH = "trip_fare"
@@ -32,10 +33,9 @@ def clean_copies(
     fare: DataFrame, trip: DataFrame, clean_dir: str, mode: str = "errorifexists"
 ) -> tuple[DataFrame, DataFrame]:
     """Cleaned Parquet copies of both tables, in pickup order for day-range filters."""
-    order = ("pickup_datetime", "medallion", "hack_license")
     return (
-        materialize(fare, f"{clean_dir}/fare", mode=mode, cluster_by=order),
-        materialize(trip, f"{clean_dir}/trip", mode=mode, cluster_by=order),
+        materialize(fare, f"{clean_dir}/fare", mode=mode, cluster_by=["pickup_datetime"]),
+        materialize(trip, f"{clean_dir}/trip", mode=mode, cluster_by=["pickup_datetime"]),
     )
 
 
@@ -63,5 +63,10 @@ def run(spark: SparkSession, data_dir: str, clean_dir: str | None = None, mode:
     raw_fare, raw_trip = read_raw(spark, data_dir)
     output_dir = f"{data_dir}/{OUTPUT_PATH}"
     write_csv(profile(raw_fare, PROFILED), f"{output_dir}/fare_profile", mode=mode)
-    fare, trip = clean_copies(raw_fare, raw_trip, clean_dir or f"{data_dir}/clean", mode=mode)
-    write_answers(fare, trip, output_dir, mode=mode)
+    clean_dir = clean_dir or f"{data_dir}/clean"
+    fare, trip = clean_copies(raw_fare, raw_trip, clean_dir, mode=mode)
+    # Three questions share the join on the ride keys: it is made once.
+    write_parquet(ride_totals(fare, trip), f"{clean_dir}/ride_totals", mode=mode)
+    totals = read_parquet(spark, f"{clean_dir}/ride_totals")
+    options = {name: {"totals": totals} for name in ON_RIDE_TOTALS}
+    write_answers(fare, trip, output_dir, options=options, mode=mode)

@@ -19,14 +19,32 @@ DRIVER_PICKUP = ["hack_license", "pickup_datetime"]
 LARGE_PARTY = 5
 
 
-def rides_by_rate_code(fare: DataFrame, trip: DataFrame) -> DataFrame:
+def ride_totals(fare: DataFrame, trip: DataFrame) -> DataFrame:
+    """Matched rides, folded: one row per ride keys, rate code and dropoff day.
+
+    ``fares`` and ``trips`` count the rows behind each side; ``tips``, ``amount`` and ``seconds`` are
+    the sums of one side. Three questions need only these columns, so when more than one of them is
+    asked, store this table once and pass it to them.
+    """
+    fares = fold(fare, RIDE_KEYS, "fares", F.sum("tip_amount").alias("tips"), F.sum("fare_amount").alias("amount"))
+    trips = fold(
+        trip,
+        [*RIDE_KEYS, "rate_code", F.to_date("dropoff_datetime").alias("day")],
+        "trips",
+        F.sum("trip_time_in_secs").alias("seconds"),
+    )
+    return join_folded(fares, trips)
+
+
+def rides_by_rate_code(fare: DataFrame, trip: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Matched rides of each known rate code, most frequent first."""
-    fares = fold(fare, RIDE_KEYS, "_fares")
-    trips = fold(trip.where(F.col("rate_code").isNotNull()), [*RIDE_KEYS, "rate_code"], "_trips")
+    if totals is None:
+        known = trip.where(F.col("rate_code").isNotNull())
+        totals = join_folded(fold(fare, RIDE_KEYS, "fares"), fold(known, [*RIDE_KEYS, "rate_code"], "trips"))
     return (
-        join_folded(fares, trips)
+        totals.where(F.col("rate_code").isNotNull())
         .groupBy("rate_code")
-        .agg(F.sum(F.col("_fares") * F.col("_trips")).alias("trip_count"))
+        .agg(F.sum(F.col("fares") * F.col("trips")).alias("trip_count"))
         .orderBy(F.desc("trip_count"))
     )
 
@@ -83,29 +101,31 @@ def top_drivers_by_vendor_numeric(fare: DataFrame, trip: DataFrame, k: int = 10)
     return ranked_in_group(_driver_totals(fare, trip), ["vendor"], order, k).drop("_mileage", "_tips")
 
 
-def driver_of_each_day(fare: DataFrame, trip: DataFrame) -> DataFrame:
+def driver_of_each_day(fare: DataFrame, trip: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """The driver(s) with the largest tip total of each day on which trips ended."""
-    fares = fold(fare, RIDE_KEYS, "_fares", F.sum("tip_amount").alias("_tips"))
-    trips = fold(trip, [*RIDE_KEYS, F.to_date("dropoff_datetime").alias("_day")], "_trips")
-    tips = (
-        join_folded(fares, trips)
-        .groupBy("_day", "hack_license", "vendor_id")
-        .agg(F.sum(F.col("_tips") * F.col("_trips")).alias("tips_sum"))
+    if totals is None:
+        fares = fold(fare, RIDE_KEYS, "fares", F.sum("tip_amount").alias("tips"))
+        trips = fold(trip, [*RIDE_KEYS, F.to_date("dropoff_datetime").alias("day")], "trips")
+        totals = join_folded(fares, trips)
+    tips = totals.groupBy("day", "hack_license", "vendor_id").agg(
+        F.sum(F.col("tips") * F.col("trips")).alias("tips_sum")
     )
-    return max_per_group(tips, ["_day"], "tips_sum").select(
-        day_string("_day").alias("date"), "hack_license", "vendor_id", "tips_sum"
+    return max_per_group(tips, ["day"], "tips_sum").select(
+        day_string("day").alias("date"), "hack_license", "vendor_id", "tips_sum"
     )
 
 
-def fare_per_second_by_vendor(fare: DataFrame, trip: DataFrame) -> DataFrame:
+def fare_per_second_by_vendor(fare: DataFrame, trip: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Fares divided by seconds driven, per vendor; null for a vendor without driving time."""
-    fares = fold(fare, RIDE_KEYS, "_fares", F.sum("fare_amount").alias("_amount"))
-    trips = fold(trip, RIDE_KEYS, "_trips", F.sum("trip_time_in_secs").alias("_seconds"))
+    if totals is None:
+        fares = fold(fare, RIDE_KEYS, "fares", F.sum("fare_amount").alias("amount"))
+        trips = fold(trip, RIDE_KEYS, "trips", F.sum("trip_time_in_secs").alias("seconds"))
+        totals = join_folded(fares, trips)
     return ratio_of_sums(
-        join_folded(fares, trips),
+        totals,
         ["vendor_id"],
-        F.col("_amount") * F.col("_trips"),
-        F.col("_seconds") * F.col("_fares"),
+        F.col("amount") * F.col("trips"),
+        F.col("seconds") * F.col("fares"),
         "average_fare_per_second",
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripledger.operators.cleaning import clean
 
@@ -30,11 +31,12 @@ def materialize(
     stop column pruning, so it is done once here; questions on the copy then read only their columns.
 
     ``cluster_by`` range-partitions and sorts the copy, so that row-group statistics let range filters
-    skip files. Name several columns, the filter column first: a value that fills a third of the
-    table is then split by the next ones.
+    skip files. A hash of the row is the last range column: cleaned rows all differ, so even a value
+    (or null) that fills a third of the table is split over many tasks.
     """
     cleaned = clean(df, how=how)
     if cluster_by:
-        cleaned = cleaned.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        row_hash = F.xxhash64(*cleaned.columns)
+        cleaned = cleaned.repartitionByRange(*cluster_by, row_hash).sortWithinPartitions(*cluster_by)
     write_parquet(cleaned, path, mode=mode)
     return df.sparkSession.read.schema(cleaned.schema).parquet(path)
