@@ -17,7 +17,7 @@ from tripledger.operators.concurrency import peak_concurrency
 from tripledger.operators.extremes import first_per_group, max_per_group, ranked_in_group, top_values_per_group
 from tripledger.operators.matching import match_rides
 from tripledger.operators.profiling import distinct_counts, null_rows, profile, value_counts
-from tripledger.operators.totals import attach_group_ratio, attach_group_sums, large_groups
+from tripledger.operators.totals import attach_group_ratio, attach_group_sums, attach_group_total, large_groups
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +31,17 @@ def skewed(spark):
     return spark.createDataFrame(rows, "a string, b int, x int, y int").cache()
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_groups": 1}, {"max_groups": 3, "buckets": 8}, {"max_groups": 40, "buckets": 2}])
+LIMITS = [
+    {},
+    {"min_rows": 1},
+    {"min_rows": 250},
+    {"min_rows": 1, "max_groups": 1},
+    {"min_rows": 1, "max_groups": 3, "buckets": 8},
+    {"min_rows": 3, "max_groups": 40, "buckets": 2},
+]
+
+
+@pytest.mark.parametrize("limits", LIMITS)
 def test_group_sums_equal_the_window_form(skewed, limits):
     window = Window.partitionBy("a", "b")
     expected = skewed.select("*", F.sum("x").over(window).alias("sx"), F.sum("y").over(window).alias("sy"))
@@ -40,15 +50,31 @@ def test_group_sums_equal_the_window_form(skewed, limits):
     assert comparable(rows_of(found)) == comparable(rows_of(expected))
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_stored_group_total_equals_the_window_form(spark, skewed, threshold):
+    """Broadcast or, beyond the threshold, shuffled."""
+    expected = skewed.withColumn("sx", F.sum("x").over(Window.partitionBy("a", "b")))
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        found = attach_group_total(skewed, ["a", "b"], "x", "sx")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert ("SortMergeJoin" in plan) == (threshold == "-1")
+        assert comparable(rows_of(found)) == comparable(rows_of(expected))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+
+
 def test_group_ratio_equals_the_window_form(skewed):
     window = Window.partitionBy("a")
     expected = skewed.withColumn("share", F.try_divide(F.sum("y").over(window), F.sum("x").over(window)) * 100)
-    found = attach_group_ratio(skewed, ["a"], "y", "x", "share", scale=100.0, max_groups=2)
+    found = attach_group_ratio(skewed, ["a"], "y", "x", "share", scale=100.0, max_groups=2, min_rows=1)
     assert comparable(rows_of(found)) == comparable(rows_of(expected))
 
 
-def test_large_groups_are_the_largest_ones(skewed):
-    found = large_groups(skewed, ["a"], {"sx": "x"}, max_groups=2)
+@pytest.mark.parametrize("limits", [{"max_groups": 2, "min_rows": 1}, {"min_rows": 300}])
+def test_large_groups_are_the_largest_ones(skewed, limits):
+    found = large_groups(skewed, ["a"], {"sx": "x"}, **limits)
     sums = {row["a"]: row["sx"] for row in skewed.groupBy("a").agg(F.sum("x").alias("sx")).collect()}
     assert {row["a"]: row["sx"] for row in found.collect()} == {key: sums[key] for key in ("hot", None)}
 

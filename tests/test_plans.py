@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripledger.operators.extremes import max_per_group
-from tripledger.operators.totals import attach_group_total
+from tripledger.operators.totals import attach_group_sums
 from tripledger.plans.catalog import QUESTIONS, VARIANTS
 from tripledger.plans.pipeline import clean_copies
 from tripledger.sources.lineitem import fare_table, trip_table
@@ -97,18 +97,17 @@ def test_only_days_meet_in_one_task(copies):
 
 
 def test_few_groups_are_looked_up_without_moving_rows(copies):
-    """Totals of weekday and payment type reach the rows by broadcast."""
-    fare, trip = copies
-    text = QUESTIONS["rides_with_weekday_revenue"](fare, trip)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in text
-    assert "SortMergeJoin" not in text
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
+    """Totals of weekday and payment type reach the rows by a broadcast that Spark chose by size."""
+    text = executed(QUESTIONS["rides_with_weekday_revenue"](*copies))
+    final = text.split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final
+    assert "hashpartitioning" not in final
 
 
-def test_broadcasts_are_bounded(copies):
+def test_hinted_broadcasts_are_bounded(copies):
     fare, _ = copies
-    text = attach_group_total(fare, ["payment_type"], "total_amount", "t")._jdf.queryExecution().executedPlan().toString()
+    sums = {"t": "total_amount"}
+    text = attach_group_sums(fare, ["payment_type"], sums)._jdf.queryExecution().executedPlan().toString()
     lines = text.splitlines()
     broadcasts = [i for i, line in enumerate(lines) if "BroadcastExchange" in line]
     assert broadcasts
@@ -116,6 +115,16 @@ def test_broadcasts_are_bounded(copies):
         assert any("TakeOrderedAndProject(limit=4096" in line for line in lines[i + 1 : i + 5])
 
 
+@pytest.mark.parametrize(("min_rows", "shuffled"), [(1, False), (10**9, True)])
+def test_only_small_groups_are_shuffled(copies, min_rows, shuffled):
+    """With large groups only, the window is dropped; without any, the lookup is."""
+    fare, _ = copies
+    found = attach_group_sums(fare, ["payment_type"], {"t": "total_amount"}, min_rows=min_rows)
+    final = executed(found).split("== Initial Plan ==")[0]
+    assert ("Window" in final) == shuffled
+    assert ("BroadcastHashJoin" in final) == (not shuffled)
+
+
 def test_no_question_uses_a_cross_join_or_python(copies):
     for question in (QUESTIONS | VARIANTS).values():
         text = question(*copies)._jdf.queryExecution().executedPlan().toString()

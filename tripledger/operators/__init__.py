@@ -1 +1 @@
-"""Reusable operators. They take and return DataFrames and run nothing by themselves."""
+"""Reusable operators. They take and return DataFrames; only `totals.attach_group_total` runs a job when called."""

@@ -1,39 +1,68 @@
-"""Totals of a group written onto each of its rows, without gathering a large group in one task."""
+"""Totals of a group written onto each of its rows, without gathering a large group in one task.
+
+Two ways, for two kinds of keys: `attach_group_total` for keys with few groups (most of them large)
+and `attach_group_sums` for keys with very many groups (hardly any of them large). Both are right for
+any number of groups of any size; they differ in cost.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripledger.functions import ratio
+from tripledger.sources.scratch import store
 
-# Groups whose totals are broadcast: a fixed number of rows, whatever the table's size. Any group
-# left over holds at most 1/4096 of the table.
+# Groups whose totals are broadcast: a fixed number of rows, whatever the table's size.
 MAX_LARGE_GROUPS = 4096
+# Rows one task can well handle in a window; smaller groups are never treated as large.
+MIN_LARGE_ROWS = 1_000_000
 # Hash buckets counted to find the large groups: few enough for map-side counts to collapse well.
 BUCKETS = 65_536
 
 
+def _same_group(keys: Sequence[str], other: Mapping[str, str]) -> Column:
+    """Equality of each key with its other name, where null equals null."""
+    condition = F.lit(True)
+    for key in keys:
+        condition = condition & F.col(key).eqNullSafe(F.col(other[key]))
+    return condition
+
+
+def attach_group_total(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    """Each row with the total of ``value`` over its group; null keys form groups too.
+
+    The totals are stored in the shared scratch folder by one job. Spark thus knows their size when
+    it plans the join: small ones are broadcast and no row of ``df`` is moved; beyond Spark's
+    broadcast threshold both sides are shuffled, and large groups split at run time.
+    """
+    own = {key: f"_total_{key}" for key in keys}
+    totals = store(df.groupBy(*keys).agg(F.sum(value).alias(name)).withColumnsRenamed(own), "totals")
+    return df.join(totals, _same_group(keys, own), "left").drop(*own.values())
+
+
 def large_groups(
     df: DataFrame,
     keys: Sequence[str],
     sums: Mapping[str, str],
     max_groups: int = MAX_LARGE_GROUPS,
+    min_rows: int = MIN_LARGE_ROWS,
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """The ``max_groups`` largest groups (or all, if fewer) with their sums.
+    """The groups of at least ``min_rows`` rows, the ``max_groups`` largest if there are more, with sums.
 
-    A group with at least 1/max_groups of the rows fills a hash bucket to at least that share, so it
-    lies in one of the ``max_groups`` fullest buckets. Counting buckets needs no shuffle of rows, and
-    only the rows of those buckets are then grouped by the real keys. Counts decide and hashes break
-    ties, hence every evaluation finds the same groups.
+    A group of n rows fills a hash bucket to at least n rows, so one with a 1/max_groups share of the
+    table lies in one of the ``max_groups`` fullest buckets. Counting buckets moves no rows, and only
+    the rows of those buckets are then grouped by the real keys. Counts decide and hashes break ties,
+    hence every evaluation finds the same groups.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
     fullest = (
         df.groupBy(bucket.alias("_bucket"))
         .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") >= min_rows)
         .orderBy(F.desc("_rows"), "_bucket")
         .limit(max_groups)
         .select("_bucket")
@@ -43,32 +72,24 @@ def large_groups(
         .join(F.broadcast(fullest), "_bucket", "left_semi")
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(column).alias(name) for name, column in sums.items()])
+        .where(F.col("_rows") >= min_rows)
         .orderBy(F.desc("_rows"), F.xxhash64(*keys), *keys)
         .limit(max_groups)
         .select(*keys, *sums)
     )
 
 
-def attach_group_sums(
-    df: DataFrame,
-    keys: Sequence[str],
-    sums: Mapping[str, str],
-    max_groups: int = MAX_LARGE_GROUPS,
-    buckets: int = BUCKETS,
-) -> DataFrame:
+def attach_group_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str], **limits: int) -> DataFrame:
     """Add ``{new column: summed column}`` totals over the row's group; null keys form groups too.
 
-    Rows of the largest groups stay where they are and look their totals up in a broadcast of at most
-    ``max_groups`` rows. All others belong to small groups and take one shuffle to a window. With few
-    groups everything goes the first way and no row is shuffled; with as many groups as rows
-    everything goes the second.
+    Rows of small groups take one shuffle to a window. Rows of :func:`large_groups`, to which
+    ``limits`` go, stay where they are and look their totals up in a broadcast of at most
+    ``max_groups`` rows. If there are none, adaptive execution drops that half before it reads
+    anything.
     """
     own = {name: f"_large_{name}" for name in (*keys, *sums)}
-    large = large_groups(df, keys, sums, max_groups, buckets).withColumns({"_large": F.lit(True)}).withColumnsRenamed(own)
-    in_group = F.lit(True)
-    for key in keys:
-        in_group = in_group & F.col(key).eqNullSafe(F.col(own[key]))
-    marked = df.join(F.broadcast(large), in_group, "left")
+    large = large_groups(df, keys, sums, **limits).withColumns({"_large": F.lit(True)}).withColumnsRenamed(own)
+    marked = df.join(F.broadcast(large), _same_group(keys, own), "left")
     known = {name: F.col(own[name]) for name in sums}
     window = Window.partitionBy(*keys)
     looked_up = marked.where(F.col("_large").isNotNull()).select(*df.columns, *[c.alias(n) for n, c in known.items()])
@@ -81,11 +102,6 @@ def attach_group_sums(
     return looked_up.unionByName(summed)
 
 
-def attach_group_total(df: DataFrame, keys: Sequence[str], value: str, name: str, **limits: int) -> DataFrame:
-    """Each row with the total of ``value`` over its group."""
-    return attach_group_sums(df, keys, {name: value}, **limits)
-
-
 def attach_group_ratio(
     df: DataFrame, keys: Sequence[str], part: str, whole: str, name: str, scale: float = 1, **limits: int
 ) -> DataFrame:

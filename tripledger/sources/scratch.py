@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -19,3 +19,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         shared = tempfile.mkdtemp(prefix="tripledger-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Run the plan once, keep its result in the scratch folder and return the stored table.
+
+    The result outlives any executor, and Spark knows its size when planning what follows.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
