@@ -149,6 +149,19 @@ TRIP_KINDS = {
     "pickup_longitude": "double",
 }
 
+QUARTILE_COLUMNS = ["fare_amount", "surcharge", "tip_amount", "total_amount"]
+
+
+def _quartiles(table: str, columns: list[str]) -> str:
+    parts = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", """
+        + ", ".join(f"quantile_disc({name}, {share}) AS {label}" for label, share in parts.items())
+        + f" FROM {table}"
+        for name in columns
+    )
+
+
 ORACLE: dict[str, str] = {
     # Questions.
     "busiest_weekdays": _on_trip("""
@@ -309,6 +322,7 @@ ORACLE: dict[str, str] = {
     "sparse_counts": f"WITH {SPARSE} SELECT line_number, count(*) AS count FROM sparse GROUP BY line_number",
     "fare_profile": _on_fare(_profile("fare", FARE_KINDS)),
     "trip_profile": _on_trip(_profile("trip", TRIP_KINDS)),
+    "fare_quartiles": _on_fare(_quartiles("fare", QUARTILE_COLUMNS)),
     "csv_with_schema": _on_fare(f"SELECT {_FARE_COLUMNS} FROM fare"),
     "csv_without_schema": _on_trip("""
         SELECT medallion, hack_license, vendor_id, cast(rate_code AS varchar) AS rate_code,

@@ -1 +1,5 @@
-"""Reusable operators. They take and return DataFrames; only `totals.attach_group_total` runs a job when called."""
+"""Reusable operators. They take and return DataFrames.
+
+Two run a job when called, to store a small intermediate table: `totals.attach_group_total` and
+`grouping.above_group_mean`.
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripledger.functions import day_string, in_days, percent_text
+from tripledger.sources.scratch import store
 
 
 def share_of_group(
@@ -41,10 +42,13 @@ def sum_by_day(
 def above_group_mean(df: DataFrame, group: str, value: str, weight: str, name: str) -> DataFrame:
     """Per group, the summed weight of rows whose value exceeds the group's weighted mean.
 
-    Rows are first added up to one per distinct (group, value), so the mean is compared with distinct
-    values only. Null groups are dropped; a group without any value above its mean gives no row.
+    Rows are first added up to one per distinct (group, value). This small table is needed twice, for
+    the means and for the comparison, so one job stores it in the shared scratch folder: what lies
+    below, usually a large join, then runs once. Null groups are dropped; a group without any value
+    above its mean gives no row.
     """
-    histogram = df.where(F.col(group).isNotNull()).groupBy(group, value).agg(F.sum(weight).alias("_weight"))
+    counted = df.where(F.col(group).isNotNull()).groupBy(group, value).agg(F.sum(weight).alias("_weight"))
+    histogram = store(counted, "histogram")
     valued = F.when(F.col(value).isNotNull(), F.col("_weight"))
     means = histogram.groupBy(group).agg(
         F.try_divide(F.sum(F.col(value) * F.col("_weight")), F.sum(valued)).alias("_mean")

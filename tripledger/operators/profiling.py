@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NumericType, TimestampNTZType, TimestampType
 
 QUARTILES = (0.25, 0.5, 0.75)
+# Spark's own default: quartiles are off by at most rows / accuracy ranks.
+QUARTILE_ACCURACY = 10_000
 
 
 def profile(
@@ -17,12 +19,13 @@ def profile(
     columns: Sequence[str] | None = None,
     exact_distinct: bool = True,
     quartiles: bool = True,
+    accuracy: int = QUARTILE_ACCURACY,
 ) -> DataFrame:
     """One row per column: type, rows, nulls, distinct, min, max, mean, stddev, p25, p50, p75.
 
     ``min`` and ``max`` are text; mean, deviation and the (approximate) quartiles are null for columns
     that are not numbers. Null counts as one distinct value. ``quartiles=False`` leaves the three
-    quartile columns out.
+    quartile columns out; with an ``accuracy`` above the number of rows they are exact.
 
     Everything but exact distinct counts comes from one aggregation without a shuffle of rows. Those
     group the values of all columns of one type together, in one pass per type; with
@@ -33,7 +36,7 @@ def profile(
     wanted = [
         part.alias(f"{i}_{label}")
         for i, name in enumerate(columns)
-        for label, part in _statistics(name, kinds[name], exact_distinct, quartiles).items()
+        for label, part in _statistics(name, kinds[name], exact_distinct, accuracy if quartiles else 0).items()
     ]
     # One row with a struct per column, turned into one row per column.
     entries = [_entry(i, name, kinds[name], exact_distinct, quartiles) for i, name in enumerate(columns)]
@@ -67,15 +70,15 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return reduce(DataFrame.unionAll, counts)
 
 
-def _statistics(name: str, kind: DataType, exact_distinct: bool, quartiles: bool) -> dict[str, Column]:
+def _statistics(name: str, kind: DataType, exact_distinct: bool, accuracy: int) -> dict[str, Column]:
     column = F.col(f"`{name}`")
     found = {"nulls": F.count_if(column.isNull()), "min": F.min(column), "max": F.max(column)}
     if not exact_distinct:
         found["distinct"] = F.approx_count_distinct(column) + F.coalesce(F.max(column.isNull().cast("int")), F.lit(0))
     if isinstance(kind, NumericType):
         found |= {"mean": F.avg(column), "stddev": F.stddev(column)}
-        if quartiles:
-            found["quartiles"] = F.percentile_approx(column, list(QUARTILES))
+        if accuracy:
+            found["quartiles"] = F.percentile_approx(column, list(QUARTILES), accuracy)
     return found
 
 

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``.
+    """A fresh path below ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Where that is unset a temporary folder is used, but only if driver and executors are one process.
+    Where neither is set a temporary folder is used, but only if driver and executors are one process.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
