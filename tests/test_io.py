@@ -1,10 +1,11 @@
-"""Sources, sinks and the whole pipeline."""
+"""Sources, sinks and the whole run from files to reports."""
 
 from __future__ import annotations
 
 import csv
 import datetime as dt
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from samples import comparable, fare_frame, fare_rows, rows_of, trip_frame, trip_rows
 
 from tripledger.plans.catalog import QUESTIONS
-from tripledger.plans.pipeline import read_raw, run
+from tripledger.plans.reports import read_raw, run
 from tripledger.schema import FARE_COLUMNS, FARE_SCHEMA, PADDED_FARE_SCHEMA, TRIP_COLUMNS
 from tripledger.sources import materialize, read_csv, read_parquet, write_csv, write_parquet
 from tripledger.sources.scratch import scratch_path
@@ -103,7 +104,16 @@ def test_scratch_path_is_below_the_shared_folder(spark):
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_pipeline_from_raw_files_to_answers(spark, tmp_path):
+def test_no_machine_local_scratch_on_a_cluster():
+    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(session, "x")
+    context.getCheckpointDir = lambda: "hdfs://shared/checkpoints/"
+    assert scratch_path(session, "x").startswith("hdfs://shared/checkpoints/x-")
+
+
+def test_all_reports_from_raw_files(spark, tmp_path):
     fares, trips = fare_rows(11, 300), trip_rows(12, 300)
     for name, columns, rows in (("trip_fare", FARE_COLUMNS, fares), ("trip_data", TRIP_COLUMNS, trips)):
         (tmp_path / name).mkdir()

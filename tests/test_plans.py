@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tripledger.operators.extremes import max_per_group
 from tripledger.operators.totals import attach_group_sums
 from tripledger.plans.catalog import QUESTIONS, VARIANTS
-from tripledger.plans.pipeline import clean_copies
+from tripledger.plans.reports import clean_copies
 from tripledger.sources.lineitem import fare_table, trip_table
 
 SF_DIR = "/root/testdata/sf0.001"
