@@ -74,7 +74,8 @@ def _driver_totals(fare: DataFrame, trip: DataFrame) -> DataFrame:
         .groupBy(F.col("vendor_id").alias("vendor"), "hack_license")
         .agg(
             F.sum(F.col("_distance") * F.col("_fares")).alias("_distance"),
-            F.sum(F.col("_measured") * F.col("_fares")).alias("_measured"),
+            # As double: for a key that fills much of a huge table the product exceeds a bigint.
+            F.sum(F.col("_measured").cast("double") * F.col("_fares")).alias("_measured"),
             F.sum(F.col("_tips") * F.col("_trips")).alias("_tips"),
         )
         .withColumn("_mileage", F.try_divide("_distance", "_measured"))
