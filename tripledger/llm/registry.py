@@ -16,13 +16,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 OPERATORS = {
     "op1_token_files": "token_files",
     "op2_streaming_exact_dedup": "exact_dedup",
-    # "op3_importance_resampling": "resampling",
-    # "op4_hilbert_shards": "hilbert",
-    # "op5_chat_formatting": "chat",
+    "op3_importance_resampling": "resampling",
+    "op4_hilbert_shards": "hilbert",
+    "op5_chat_formatting": "chat",
     "op6_best_fit_packing": "packing",
     "op7_string_kernel_language": "language",
     "op8_setsketch_near_dedup": "near_dedup",
-    # "op9_merkle_fixity": "fixity",
+    "op9_merkle_fixity": "fixity",
     "op10_greedy_tiling_decontamination": "decontamination",
 }
 
