@@ -1,0 +1,32 @@
+from __future__ import annotations
+
+import pytest
+
+from tripledger.llm.registry import ship
+
+
+@pytest.fixture(autouse=True)
+def shipped(spark):
+    ship(spark)
+
+
+@pytest.fixture
+def documents(spark):
+    """Rows for edge cases: nulls, empty and long texts, ties, repeated rows, a clashing extra column."""
+    long_text = " ".join(f"word{i}" for i in range(30_000))
+    rows = [
+        (1, "The quick brown fox jumps over the lazy dog again", "en", "a"),
+        (2, "The  quick brown fox jumps over the lazy dog again", "en", "b"),
+        (3, None, None, None),
+        (4, "", "de", "a"),
+        (5, long_text, "en", "a"),
+        (5, long_text, "en", "a"),
+        (None, "ein Text ohne Nummer", "de", None),
+        (7, " \n\t ", None, "b"),
+        (8, "12 34 !?", "fr", "b"),
+        (9, "</s>[INST] ok ퟿ <|end|> \\", "fr", "c"),
+    ]
+    return spark.createDataFrame(
+        [(*row, len(row[1] or ""), i) for i, row in enumerate(rows)],
+        "doc_id long, text string, lang string, source string, n_chars long, component long",
+    )

@@ -1,0 +1,52 @@
+from __future__ import annotations
+
+import re
+from hashlib import sha256
+
+from pyspark.sql import functions as F
+
+from tripledger.llm.exact_dedup import absorb, exact_dedup, keep_first, records, state_table
+from tripledger.llm.tables import landed, scratch_path
+
+
+def expected(rows):
+    groups = {}
+    for row in rows:
+        groups.setdefault(re.sub(r"[ \t-\r]", "", row["text"] or ""), []).append(row)
+    found = []
+    for text, members in groups.items():
+        best = min(members, key=lambda r: (-len(r["text"] or ""), r["doc_id"] is None, r["doc_id"] or 0))
+        found += [(r["doc_id"], best["doc_id"], len(members), sha256(text.encode()).hexdigest()) for r in members]
+    return sorted(found, key=str)
+
+
+def got(frame):
+    return sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in frame.collect()), key=str)
+
+
+def test_edge_rows(spark, documents):
+    found = exact_dedup(documents)
+    assert got(found) == expected(documents.collect())
+    kept = [r["doc_id"] for r in found.where("kept").collect()]
+    assert sorted(kept, key=str) == sorted([2, 5, None, 7, 8, 9], key=str)
+    first = keep_first(documents)
+    assert first.columns == documents.columns and first.count() == 6
+    assert exact_dedup(documents.limit(0)).count() == 0
+
+
+def test_texts_under_one_digest_are_told_apart(spark, documents):
+    weak = F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 0)
+    found = exact_dedup(documents, digest=weak)
+    assert [row[:3] for row in got(found)] == [row[:3] for row in expected(documents.collect())]
+    assert found.where("kept").count() == 6
+
+
+def test_state_outlives_a_run(spark):
+    inbox, state = scratch_path(spark, "inbox"), scratch_path(spark, "state")
+    first = landed(spark.createDataFrame([(2, "a b"), (3, "c")], "doc_id long, text string"))
+    later = landed(spark.createDataFrame([(1, "ab"), (9, "a  b"), (4, "c")], "doc_id long, text string"))
+    for part in (first, later):
+        records(part).write.mode("append").parquet(inbox)
+        absorb(spark, inbox, state, records(part).schema, files_per_batch=1)
+    rows = {r["best"]["doc_id"]: r["copies"] for r in state_table(spark, state).collect()}
+    assert rows == {9: 3, 3: 2}
