@@ -36,6 +36,8 @@ def _disk_state(spark: SparkSession):
         f"{prefix}.providerClass": PROVIDER,
         f"{prefix}.rocksdb.boundedMemoryUsage": "true",
         f"{prefix}.rocksdb.maxMemoryUsageMB": str(STATE_MEMORY_MB),
+        # Many small stores: no disk space is set aside before it is used.
+        f"{prefix}.rocksdb.allowFAllocate": "false",
         "spark.sql.streaming.numRecentProgressUpdates": "1",
     }
     before = {key: spark.conf.get(key, None) for key in wanted}
@@ -127,13 +129,14 @@ def exact_dedup(
     absorb(spark, inbox, state, arrived.schema, files_per_batch)
     known = store(state_table(spark, state), "dedup-known")
     classes = store(classes_of(docs, arrived, known), "dedup-classes")
-    split = classes.where("content is not null").select("digest").distinct()
-    clear = arrived.join(classes.where("content is null"), "digest")
-    # Empty unless a digest stands for several texts; then their rows are matched by their bytes too.
-    doubtful = arrived.join(split, "digest", "left_semi")
-    texts = with_locator(docs, ["text"])
-    told = doubtful.join(texts, ["_file", "_row"]).withColumn("content", F.sha2(normalised(), 512)).drop("text")
-    matched = clear.drop("content").unionByName(told.join(classes.where("content is not null"), ["digest", "content"]).drop("content"))
+    matched = arrived.join(classes.where("content is null").drop("content"), "digest")
+    told_apart = classes.where("content is not null")
+    if not told_apart.isEmpty():
+        # Some digest stands for several texts: their rows are matched by their bytes too.
+        doubtful = arrived.join(told_apart.select("digest").distinct(), "digest", "left_semi")
+        texts = with_locator(docs, [F.sha2(normalised(), 512).alias("content")])
+        found = doubtful.join(texts, ["_file", "_row"]).join(told_apart, ["digest", "content"])
+        matched = matched.unionByName(found.drop("content"))
     return matched.select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
