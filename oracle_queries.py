@@ -7,7 +7,7 @@ _SECOND_OF_DAY = "cast((l_orderkey * 7919 + l_linenumber * 613) % 86400 as bigin
 
 FARE = f"""
 fare AS (
-  SELECT *, fare_amount + surcharge + mta_tax + tip_amount + tolls_amount AS total_amount
+  SELECT *, round(fare_amount + surcharge + mta_tax + tip_amount + tolls_amount, 2) AS total_amount
   FROM (
     SELECT cast(l_partkey AS varchar) AS medallion,
            cast(l_suppkey AS varchar) AS hack_license,
@@ -18,7 +18,7 @@ fare AS (
            l_extendedprice AS fare_amount,
            round(l_tax * 100) AS surcharge,
            0.5::double AS mta_tax,
-           l_quantity * round(l_discount * 100) * 10 AS tip_amount,
+           (l_quantity * round(l_discount * 100) * 1000 + (l_orderkey * 31 + l_linenumber * 7) % 100) / 100 AS tip_amount,
            0.0::double AS tolls_amount
     FROM lineitem)
 )"""
@@ -66,6 +66,11 @@ sparse AS (
 )"""
 
 
+def _exact(column: str) -> str:
+    """A sum of cents that no order of addition can change."""
+    return f"cast(sum(cast({column} AS decimal(18, 2))) AS double)"
+
+
 def _on_fare(sql: str) -> str:
     return f"WITH {FARE} {sql}"
 
@@ -86,18 +91,19 @@ def _round(digits: int, expression: str, name: str) -> str:
     return f"round({expression}, {digits}) AS {name}"
 
 
-_DRIVERS = """
+_MILEAGE = f"{_exact('t.trip_distance')} / count(t.trip_distance)"
+_DRIVERS = f"""
   SELECT t.vendor_id AS vendor, t.hack_license,
-         avg(t.trip_distance) AS mileage, sum(f.tip_amount) AS tips,
-         format('{:,.2f}', avg(t.trip_distance)) AS average_mileage,
-         format('{:,.2f}', sum(f.tip_amount)) AS total_tip_amount
+         {_MILEAGE} AS mileage, {_exact('f.tip_amount')} AS tips,
+         format('{{:,.2f}}', {_MILEAGE}) AS average_mileage,
+         format('{{:,.2f}}', {_exact('f.tip_amount')}) AS total_tip_amount
   FROM trip t JOIN fare f ON t.hack_license = f.hack_license AND t.pickup_datetime = f.pickup_datetime
   GROUP BY t.vendor_id, t.hack_license
 """
 
-_WEEKDAY_TIPS = """
-  SELECT vendor_id, dayname(pickup_datetime) AS day_of_week, sum(tip_amount) AS tips,
-         format('{:,.2f}', sum(tip_amount)) AS total_tips
+_WEEKDAY_TIPS = f"""
+  SELECT vendor_id, dayname(pickup_datetime) AS day_of_week, {_exact('tip_amount')} AS tips,
+         format('{{:,.2f}}', {_exact('tip_amount')}) AS total_tips
   FROM fare GROUP BY 1, 2
 """
 
@@ -140,16 +146,22 @@ FARE_KINDS = {
 }
 TRIP_KINDS = {
     "medallion": "string",
+    "hack_license": "string",
+    "vendor_id": "string",
     "rate_code": "int",
+    "store_and_fwd_flag": "string",
     "pickup_datetime": "timestamp_ntz",
     "dropoff_datetime": "timestamp_ntz",
     "passenger_count": "int",
     "trip_time_in_secs": "double",
     "trip_distance": "double",
     "pickup_longitude": "double",
+    "pickup_latitude": "double",
+    "dropoff_longitude": "double",
+    "dropoff_latitude": "double",
 }
 
-QUARTILE_COLUMNS = ["fare_amount", "surcharge", "tip_amount", "total_amount"]
+QUARTILE_COLUMNS = [name for name, kind in FARE_KINDS.items() if kind == "double"]
 
 
 def _quartiles(table: str, columns: list[str]) -> str:
@@ -171,8 +183,8 @@ ORACLE: dict[str, str] = {
         SELECT vendor_id, dayofweek, count
         FROM (SELECT *, max(count) OVER (PARTITION BY vendor_id) AS most FROM counts)
         WHERE count = most"""),
-    "revenue_by_vendor": _on_fare("""
-        SELECT vendor_id, format('{:,.2f}', sum(total_amount)) AS total_revenue
+    "revenue_by_vendor": _on_fare(f"""
+        SELECT vendor_id, format('{{:,.2f}}', {_exact('total_amount')}) AS total_revenue
         FROM fare WHERE vendor_id IS NOT NULL GROUP BY vendor_id"""),
     "mean_distance_by_passengers": _on_trip(f"""
         SELECT vendor_id, passenger_count, {_round(6, 'avg(trip_distance)', 'avg_trip_distance')}
@@ -195,8 +207,8 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY vendor_id ORDER BY total_tips DESC NULLS LAST,
                                            day_of_week ASC NULLS FIRST) AS place FROM tips)
         WHERE place = 1"""),
-    "mean_fare_by_payment_type": _on_fare("""
-        SELECT payment_type, format('{:,.2f}', avg(fare_amount)) AS average_fare_amount
+    "mean_fare_by_payment_type": _on_fare(f"""
+        SELECT payment_type, format('{{:,.2f}}', {_exact('fare_amount')} / count(fare_amount)) AS average_fare_amount
         FROM fare GROUP BY payment_type"""),
     "top_drivers_by_vendor": _on_both(f"""
         , drivers AS ({_DRIVERS})
@@ -230,24 +242,24 @@ ORACLE: dict[str, str] = {
         FROM fare WHERE fare_amount < tip_amount"""),
     "earnings_by_day": _on_fare(f"""
         SELECT vendor_id, strftime(pickup_datetime, '%Y-%m-%d') AS date,
-               {_round(2, 'sum(total_amount)', 'total_earnings')}
+               {_round(2, _exact('total_amount'), 'total_earnings')}
         FROM fare
         WHERE strftime(pickup_datetime, '%Y-%m-%d') BETWEEN '1998-01-01' AND '1998-01-07'
         GROUP BY 1, 2"""),
     "driver_of_each_day": _on_rides(f"""
         , tips AS (
-          SELECT vendor_id, hack_license, strftime(dropoff_datetime, '%Y-%m-%d') AS date, sum(tip_amount) AS tips_sum
+          SELECT vendor_id, hack_license, strftime(dropoff_datetime, '%Y-%m-%d') AS date, {_exact('tip_amount')} AS tips_sum
           FROM rides GROUP BY 1, 2, 3)
         SELECT date, hack_license, vendor_id, {_round(2, 'tips_sum', 'tips_sum')}
         FROM (SELECT *, max(tips_sum) OVER (PARTITION BY date) AS most FROM tips)
         WHERE tips_sum = most"""),
     "fare_per_second_by_vendor": _on_rides(f"""
         SELECT vendor_id,
-               {_round(6, 'sum(fare_amount) / nullif(sum(trip_time_in_secs), 0)', 'average_fare_per_second')}
+               {_round(6, 'cast(sum(cast(fare_amount AS decimal(18, 2))) AS double) / nullif(sum(trip_time_in_secs), 0)', 'average_fare_per_second')}
         FROM rides GROUP BY vendor_id"""),
     "top_vendor_by_payment_type": _on_fare(f"""
         , revenue AS (
-          SELECT vendor_id, payment_type, sum(total_amount) AS sum_total_amount FROM fare GROUP BY 1, 2)
+          SELECT vendor_id, payment_type, {_exact('total_amount')} AS sum_total_amount FROM fare GROUP BY 1, 2)
         SELECT payment_type, vendor_id, {_round(2, 'sum_total_amount', 'sum_total_amount')}
         FROM (SELECT *, max(sum_total_amount) OVER (PARTITION BY payment_type) AS most FROM revenue)
         WHERE sum_total_amount = most"""),
@@ -271,12 +283,14 @@ ORACLE: dict[str, str] = {
         ORDER BY max(total_amount) DESC NULLS LAST, f.medallion, f.hack_license, passenger_count LIMIT 10"""),
     "rides_with_weekday_revenue": _on_fare(f"""
         SELECT {_FARE_COLUMNS}, cast(dayofweek(pickup_datetime) + 1 AS integer) AS day_num,
-               round(sum(total_amount) OVER (PARTITION BY dayofweek(pickup_datetime), payment_type), 2)
+               round(cast(sum(cast(total_amount AS decimal(18, 2)))
+                          OVER (PARTITION BY dayofweek(pickup_datetime), payment_type) AS double), 2)
                  AS total_revenue_per_day
         FROM fare"""),
     "tip_percentages": _on_fare(f"""
         SELECT {_FARE_COLUMNS},
-               round(sum(tip_amount) OVER ride / nullif(sum(total_amount) OVER ride, 0) * 100, 6) AS tips_percentage
+               round(cast(sum(cast(tip_amount AS decimal(18, 2))) OVER ride AS double)
+                     / nullif(cast(sum(cast(total_amount AS decimal(18, 2))) OVER ride AS double), 0) * 100, 6) AS tips_percentage
         FROM fare WHERE payment_type <> 'CSH'
         WINDOW ride AS (PARTITION BY medallion, hack_license, pickup_datetime)"""),
     "mean_duration_by_rate_code": _on_trip(f"""
@@ -290,7 +304,10 @@ ORACLE: dict[str, str] = {
         FROM running GROUP BY 1
         ORDER BY simultaneous_trips DESC NULLS LAST, day ASC NULLS FIRST LIMIT 5"""),
     "trips_above_mean_tip": _on_rides("""
-        , marked AS (SELECT rate_code, tip_amount > avg(tip_amount) OVER (PARTITION BY rate_code) AS above FROM rides)
+        , cents AS (SELECT rate_code, cast(tip_amount AS decimal(18, 2)) AS tip FROM rides),
+        marked AS (
+          SELECT rate_code, tip * count(tip) OVER (PARTITION BY rate_code) > sum(tip) OVER (PARTITION BY rate_code) AS above
+          FROM cents)
         SELECT rate_code, count(*) AS trip_count FROM marked WHERE above AND rate_code IS NOT NULL
         GROUP BY rate_code"""),
     "best_tip_weekday_numeric": _on_fare(f"""
@@ -324,9 +341,16 @@ ORACLE: dict[str, str] = {
     "trip_profile": _on_trip(_profile("trip", TRIP_KINDS)),
     "fare_quartiles": _on_fare(_quartiles("fare", QUARTILE_COLUMNS)),
     "csv_with_schema": _on_fare(f"SELECT {_FARE_COLUMNS} FROM fare"),
+    "csv_trip_with_schema": _on_trip(f"SELECT {_TRIP_COLUMNS} FROM trip"),
     "csv_without_schema": _on_trip("""
-        SELECT medallion, hack_license, vendor_id, cast(rate_code AS varchar) AS rate_code,
-               cast(passenger_count AS varchar) AS passenger_count, cast(trip_distance AS varchar) AS trip_distance
+        SELECT medallion, hack_license, vendor_id, cast(rate_code AS varchar) AS rate_code, store_and_fwd_flag,
+               strftime(pickup_datetime, '%Y-%m-%dT%H:%M:%S.000') AS pickup_datetime,
+               strftime(dropoff_datetime, '%Y-%m-%dT%H:%M:%S.000') AS dropoff_datetime,
+               cast(passenger_count AS varchar) AS passenger_count,
+               cast(trip_time_in_secs AS varchar) AS trip_time_in_secs, cast(trip_distance AS varchar) AS trip_distance,
+               cast(pickup_longitude AS varchar) AS pickup_longitude, cast(pickup_latitude AS varchar) AS pickup_latitude,
+               cast(dropoff_longitude AS varchar) AS dropoff_longitude,
+               cast(dropoff_latitude AS varchar) AS dropoff_latitude
         FROM trip"""),
     "parquet_clean_copy": _on_trip(f"SELECT DISTINCT {_TRIP_COLUMNS} FROM trip"),
 }

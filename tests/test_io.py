@@ -12,11 +12,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from samples import comparable, fare_frame, fare_rows, rows_of, trip_frame, trip_rows
 
-from tripledger.plans.catalog import QUESTIONS
+from tripledger.plans.catalog import QUESTIONS, VARIANTS
 from tripledger.plans.reports import read_raw, run
 from tripledger.schema import FARE_COLUMNS, FARE_SCHEMA, PADDED_FARE_SCHEMA, TRIP_COLUMNS
 from tripledger.sources import materialize, read_csv, read_parquet, write_csv, write_parquet
-from tripledger.sources.scratch import scratch_path
+from tripledger.sources.scratch import scratch_owner, scratch_path
 
 
 def write_lines(path: Path, *lines: str) -> str:
@@ -104,8 +104,9 @@ def test_scratch_path_is_below_the_shared_folder(spark):
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-def test_no_machine_local_scratch_on_a_cluster():
-    context = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None)
+@pytest.mark.parametrize("master", ["yarn", "local[8]"])
+def test_scratch_needs_a_shared_folder(master):
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_path(session, "x")
@@ -113,6 +114,26 @@ def test_no_machine_local_scratch_on_a_cluster():
     assert scratch_path(session, "x").startswith("hdfs://shared/checkpoints/x-")
 
 
+def test_an_owner_leaves_nothing_behind(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    fare, trip = fare_frame(spark, fare_rows(3, 50)), trip_frame(spark, trip_rows(3, 50))
+    with scratch_owner(spark):
+        for name in ("rides_with_weekday_revenue", "top_cash_tips"):
+            QUESTIONS[name](fare, trip).count()
+        VARIANTS["trips_above_mean_tip"](fare, trip).count()
+        assert set(shared.iterdir()) > before
+    assert set(shared.iterdir()) == before
+
+
+def test_file_sizes_of_a_copy(spark, tmp_path):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("x"))
+    materialize(df, str(tmp_path / "a"), cluster_by=["x"], partitions=4)
+    assert len(list((tmp_path / "a").glob("*.parquet"))) == 4
+    materialize(df, str(tmp_path / "b"), partitions=2, rows_per_file=100)
+    assert len(list((tmp_path / "b").glob("*.parquet"))) in (10, 11)
+
+
 def test_all_reports_from_raw_files(spark, tmp_path):
     fares, trips = fare_rows(11, 300), trip_rows(12, 300)
     for name, columns, rows in (("trip_fare", FARE_COLUMNS, fares), ("trip_data", TRIP_COLUMNS, trips)):
@@ -123,7 +144,10 @@ def test_all_reports_from_raw_files(spark, tmp_path):
             writer.writerows([[row[c] for c in columns] for row in rows + rows])
     raw_fare, raw_trip = read_raw(spark, str(tmp_path))
     assert (raw_fare.columns, raw_trip.columns) == (FARE_COLUMNS, TRIP_COLUMNS)
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
     run(spark, str(tmp_path))
+    assert set(shared.iterdir()) == before
     output = tmp_path / "output"
     assert {p.name for p in output.iterdir()} == {*QUESTIONS, "fare_profile"}
     unique_fares = list({tuple(r.items()): r for r in fares}.values())

@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from samples import comparable, fare_frame, fare_rows, rows_of, trip_frame, trip_rows
 
-from tripledger.functions import day_type, in_days, weekday_name, weekday_number
+from tripledger.functions import day_type, exact_sum, in_days, weekday_name, weekday_number
 from tripledger.operators import extremes
 from tripledger.operators.cleaning import clean, strip_column_names
 from tripledger.operators.concurrency import peak_concurrency
 from tripledger.operators.extremes import first_per_group, max_per_group, ranked_in_group, top_values_per_group
 from tripledger.operators.matching import match_rides
-from tripledger.operators.profiling import distinct_counts, null_rows, profile, value_counts
-from tripledger.operators.totals import attach_group_ratio, attach_group_sums, attach_group_total, large_groups
+from tripledger.operators.grouping import above_group_mean
+from tripledger.operators.profiling import distinct_counts, exact_quartiles, null_rows, profile, value_counts
+from tripledger.operators.totals import attach_group_ratio, attach_group_sums, attach_group_total
+from tripledger.plans.fares import top_vendor_by_payment_type
+from tripledger.plans.rides import driver_of_each_day, trips_above_mean_tip
 
 
 @pytest.fixture(scope="module")
@@ -31,29 +36,19 @@ def skewed(spark):
     return spark.createDataFrame(rows, "a string, b int, x int, y int").cache()
 
 
-LIMITS = [
-    {},
-    {"min_rows": 1},
-    {"min_rows": 250},
-    {"min_rows": 1, "max_groups": 1},
-    {"min_rows": 1, "max_groups": 3, "buckets": 8},
-    {"min_rows": 3, "max_groups": 40, "buckets": 2},
-]
-
-
-@pytest.mark.parametrize("limits", LIMITS)
-def test_group_sums_equal_the_window_form(skewed, limits):
+def test_group_sums_equal_the_window_form(skewed):
     window = Window.partitionBy("a", "b")
     expected = skewed.select("*", F.sum("x").over(window).alias("sx"), F.sum("y").over(window).alias("sy"))
-    found = attach_group_sums(skewed, ["a", "b"], {"sx": "x", "sy": "y"}, **limits)
+    found = attach_group_sums(skewed, ["a", "b"], {"sx": "x", "sy": "y"})
     assert found.columns == expected.columns
-    assert comparable(rows_of(found)) == comparable(rows_of(expected))
+    whole = found.withColumns({name: F.col(name).cast("long") for name in ("sx", "sy")})
+    assert comparable(rows_of(whole)) == comparable(rows_of(expected))
 
 
 @pytest.mark.parametrize("threshold", ["10MB", "-1"])
 def test_stored_group_total_equals_the_window_form(spark, skewed, threshold):
     """Broadcast or, beyond the threshold, shuffled."""
-    expected = skewed.withColumn("sx", F.sum("x").over(Window.partitionBy("a", "b")))
+    expected = skewed.withColumn("sx", F.sum("x").over(Window.partitionBy("a", "b")).cast("double"))
     usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
@@ -68,15 +63,76 @@ def test_stored_group_total_equals_the_window_form(spark, skewed, threshold):
 def test_group_ratio_equals_the_window_form(skewed):
     window = Window.partitionBy("a")
     expected = skewed.withColumn("share", F.try_divide(F.sum("y").over(window), F.sum("x").over(window)) * 100)
-    found = attach_group_ratio(skewed, ["a"], "y", "x", "share", scale=100.0, max_groups=2, min_rows=1)
+    found = attach_group_ratio(skewed, ["a"], "y", "x", "share", scale=100.0)
     assert comparable(rows_of(found)) == comparable(rows_of(expected))
 
 
-@pytest.mark.parametrize("limits", [{"max_groups": 2, "min_rows": 1}, {"min_rows": 300}])
-def test_large_groups_are_the_largest_ones(skewed, limits):
-    found = large_groups(skewed, ["a"], {"sx": "x"}, **limits)
-    sums = {row["a"]: row["sx"] for row in skewed.groupBy("a").agg(F.sum("x").alias("sx")).collect()}
-    assert {row["a"]: row["sx"] for row in found.collect()} == {key: sums[key] for key in ("hot", None)}
+CENTS = [("a", 0.1), ("a", 0.2), ("a", 0.3), ("b", 0.3), ("b", 0.2), ("b", 0.1)]
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 4])
+def test_sums_of_cents_tie_however_they_are_added(spark, partitions):
+    fares = [dict(fare_rows(1, 1)[0], vendor_id=v, payment_type="CSH", total_amount=x) for v, x in CENTS]
+    best = top_vendor_by_payment_type(fare_frame(spark, fares).repartition(partitions)).collect()
+    assert sorted((r["vendor_id"], r["sum_total_amount"]) for r in best) == [("a", 0.6), ("b", 0.6)]
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 4])
+def test_drivers_with_the_same_cents_tie(spark, partitions):
+    fare, trip = fare_rows(1, 1)[0], trip_rows(1, 1)[0]
+    start = dt.datetime(2013, 1, 1)
+    fares, trips = [], []
+    for i, (driver, tip) in enumerate(CENTS):
+        ride = {"medallion": "m", "hack_license": driver, "vendor_id": "v", "pickup_datetime": start + dt.timedelta(minutes=i)}
+        fares.append(fare | ride | {"tip_amount": tip})
+        trips.append(trip | ride | {"dropoff_datetime": start + dt.timedelta(hours=1)})
+    best = driver_of_each_day(fare_frame(spark, fares).repartition(partitions), trip_frame(spark, trips))
+    assert sorted((r["hack_license"], r["tips_sum"]) for r in best.collect()) == [("a", 0.6), ("b", 0.6)]
+
+
+@pytest.mark.parametrize(("tip", "rides"), [(0.03, 11), (0.01, 29), (0.07, 3)])
+def test_equal_tips_are_not_above_their_mean(spark, tip, rides):
+    fare, trip = fare_rows(1, 1)[0], trip_rows(1, 1)[0]
+    ride = [{"medallion": "m", "hack_license": "h", "vendor_id": "v", "pickup_datetime": dt.datetime(2013, 1, 1, 0, i)} for i in range(rides)]
+    fares = fare_frame(spark, [fare | r | {"tip_amount": tip} for r in ride])
+    trips = trip_frame(spark, [trip | r | {"rate_code": 1} for r in ride])
+    assert trips_above_mean_tip(fares, trips).collect() == []
+
+
+def test_weights_beyond_a_bigint(spark):
+    rows = [(1, 0.01, 4 * 10**18), (1, 0.02, 4 * 10**18), (1, None, 4 * 10**18)]
+    df = spark.createDataFrame(rows, "g int, v double, w long")
+    found = above_group_mean(df, "g", "v", "w", "n")
+    assert rows_of(found) == [(1, 4 * 10**18)]
+
+
+def test_exact_amounts_are_never_rounded_or_lost_unseen(spark):
+    df = spark.createDataFrame([(0.1,), (0.2,), (None,), (-3.0000000000000004,)], "x double")
+    assert df.agg(exact_sum("x").alias("s")).first()["s"] == Decimal("-2.7")
+    for bad in (0.0000001, 1e13, float("nan")):
+        with pytest.raises(Exception, match="not a decimal"):
+            spark.createDataFrame([(bad,)], "x double").agg(exact_sum("x")).collect()
+    assert spark.createDataFrame([(0.00000012,)], "x double").agg(exact_sum("x", 8).alias("s")).first()["s"] == Decimal("0.00000012")
+
+
+@pytest.mark.parametrize("rows", [0, 1, 4, 5, 1000])
+def test_exact_quartiles(spark, rows):
+    rng = random.Random(rows)
+    values = [(rng.choice([None, rng.randrange(50) / 4]), rng.randrange(10**9)) for _ in range(rows)]
+    df = spark.createDataFrame(values, "a double, b long")
+    found = {r["column"]: tuple(r)[1:] for r in exact_quartiles(df, ["a", "b"]).collect()}
+    for i, name in enumerate(("a", "b")):
+        known = sorted(float(v[i]) for v in values if v[i] is not None)
+        ranks = [max(1, math.ceil(q * len(known))) for q in (0.25, 0.5, 0.75)]
+        assert found.get(name) == (tuple(known[r - 1] for r in ranks) if known else None)
+
+
+def test_profile_with_exact_and_estimated_quartiles(spark):
+    df = spark.range(1, 101).select("id", F.lit("x").alias("s"))
+    for options in ({}, {"accuracy": 10_000}):
+        rows = {r["column"]: r for r in profile(df, **options).collect()}
+        assert (rows["id"]["p25"], rows["id"]["p50"], rows["id"]["p75"], rows["id"]["distinct"]) == (25.0, 50.0, 75.0, 100)
+        assert rows["s"]["p50"] is None and rows["s"]["distinct"] == 1
 
 
 def test_max_per_group_keeps_ties_and_null_groups_but_no_null_values(spark):
@@ -90,7 +146,7 @@ def test_first_per_group_and_ranks(spark):
     df = spark.createDataFrame(rows, "g string, id int, v int")
     first = first_per_group(df, ["g"], [F.desc("v"), F.asc("id")])
     assert comparable(rows_of(first)) == [rows[0], rows[4]]
-    top = ranked_in_group(df, ["g"], [F.desc("v")], 3)
+    top = ranked_in_group(df, ["g"], ["v"], 3)
     assert comparable(rows_of(top)) == [("a", 1, 9, 1), ("a", 2, 9, 1), ("a", 3, 8, 3), ("b", 5, 1, 1)]
 
 

@@ -1,15 +1,18 @@
 """Column expressions shared by the operators and the questions."""
 
 from tripledger.functions.calendar import day_string, day_type, in_days, weekday_name, weekday_number
-from tripledger.functions.numbers import money_text, percent_text, ratio
+from tripledger.functions.numbers import exact, exact_sum, money_text, percent_text, ratio, weight
 
 __all__ = [
     "day_string",
     "day_type",
+    "exact",
+    "exact_sum",
     "in_days",
     "money_text",
     "percent_text",
     "ratio",
     "weekday_name",
     "weekday_number",
+    "weight",
 ]

@@ -6,6 +6,34 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Digits after the point of amounts and distances in exact sums, unless told otherwise.
+SCALE = 6
+
+
+def exact(amount: Column | str, scale: int = SCALE) -> Column:
+    """A double as decimal(18, scale), to be added in any order with one result.
+
+    An amount with more digits than the scale holds (beyond the noise of doubles), or too large, is an
+    error: nothing is rounded or becomes null unseen.
+    """
+    column = F.col(amount) if isinstance(amount, str) else amount
+    number = column.try_cast(f"decimal(18,{scale})")
+    noise = F.greatest(F.lit(1.0), F.abs(column.cast("double"))) * 1e-9
+    fits = F.abs(number.cast("double") - column.cast("double")) <= noise
+    message = F.concat(F.lit(f"not a decimal(18,{scale}): "), column.cast("string"))
+    return F.when(column.isNull(), F.lit(None)).when(F.coalesce(fits, F.lit(False)), number).otherwise(F.raise_error(message))
+
+
+def exact_sum(amount: Column | str, scale: int = SCALE) -> Column:
+    """The sum as decimal(28, scale), whatever the order of the rows."""
+    return F.sum(exact(amount, scale))
+
+
+def weight(rows: Column | str) -> Column:
+    """A row count as a factor whose products overflow with an error at 38 digits, not at 19."""
+    return (F.col(rows) if isinstance(rows, str) else rows).cast("decimal(38,0)")
+
+
 def money_text(amount: Column | str) -> Column:
     """``1234.5`` as ``'1,234.50'``."""
     return F.format_number(amount, 2)

@@ -8,7 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.functions import day_string, in_days, percent_text
+from tripledger.functions import day_string, exact, exact_sum, in_days, percent_text
+from tripledger.functions import weight as factor
 from tripledger.sources.scratch import store
 
 
@@ -30,11 +31,11 @@ def sum_by_day(
     name: str,
     day: str = "date",
 ) -> DataFrame:
-    """Sum per group and day over the days first … last, both included."""
+    """Exact sum per group and day, as double, over the days first … last, both included."""
     return (
         df.where(in_days(df, moment, first, last))
         .groupBy(*by, F.to_date(moment).alias(day))
-        .agg(F.sum(value).alias(name))
+        .agg(exact_sum(value).cast("double").alias(name))
         .withColumn(day, day_string(day))
     )
 
@@ -43,19 +44,24 @@ def above_group_mean(df: DataFrame, group: str, value: str, weight: str, name: s
     """Per group, the summed weight of rows whose value exceeds the group's weighted mean.
 
     Rows are first added up to one per distinct (group, value). This small table is needed twice, for
-    the means and for the comparison, so one job stores it in the shared scratch folder: what lies
-    below, usually a large join, then runs once. Null groups are dropped; a group without any value
-    above its mean gives no row.
+    the means and for the comparison, so one job stores it in the shared scratch folder, when the frame
+    is made: what lies below, usually a large join, then runs once. Values are compared as exact
+    decimals and without a division, so a value equal to the mean is never above it. Null groups are
+    dropped; a group without any value above its mean gives no row.
     """
-    counted = df.where(F.col(group).isNotNull()).groupBy(group, value).agg(F.sum(weight).alias("_weight"))
+    counted = (
+        df.where(F.col(group).isNotNull())
+        .groupBy(group, exact(value).alias(value))
+        .agg(F.sum(factor(weight)).alias("_weight"))
+    )
     histogram = store(counted, "histogram")
-    valued = F.when(F.col(value).isNotNull(), F.col("_weight"))
-    means = histogram.groupBy(group).agg(
-        F.try_divide(F.sum(F.col(value) * F.col("_weight")), F.sum(valued)).alias("_mean")
+    known = histogram.where(F.col(value).isNotNull())
+    totals = known.groupBy(group).agg(
+        F.sum(F.col(value) * F.col("_weight")).alias("_total"), F.sum("_weight").alias("_all")
     )
     return (
-        histogram.join(means, group, "inner")
-        .where(F.col(value) > F.col("_mean"))
+        known.join(totals, group, "inner")
+        .where(F.col(value) * F.col("_all") > F.col("_total"))
         .groupBy(group)
-        .agg(F.sum("_weight").alias(name))
+        .agg(F.sum("_weight").cast("long").alias(name))
     )

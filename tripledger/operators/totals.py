@@ -1,29 +1,23 @@
 """Totals of a group written onto each of its rows, without gathering a large group in one task.
 
-Two ways, for two kinds of keys: `attach_group_total` for keys with few groups (most of them large)
-and `attach_group_sums` for keys with very many groups (hardly any of them large). Both are right for
-any number of groups of any size; they differ in cost.
+Groups are summed first, which shrinks map-side, and the sums are joined back on the group's keys,
+where null equals null. Null-safe keys are expressions of their own, so the join shuffles both sides
+by them and can split a large group's rows over many tasks at run time; and where the sums turn out
+small, Spark broadcasts them instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.functions import ratio
+from tripledger.functions import exact_sum, ratio
 from tripledger.sources.scratch import store
 
-# Groups whose totals are broadcast: a fixed number of rows, whatever the table's size.
-MAX_LARGE_GROUPS = 4096
-# Rows one task can well handle in a window; smaller groups are never treated as large.
-MIN_LARGE_ROWS = 1_000_000
-# Hash buckets counted to find the large groups: few enough for map-side counts to collapse well.
-BUCKETS = 65_536
 
-
-def _same_group(keys: Sequence[str], other: Mapping[str, str]) -> Column:
+def same_group(keys: Sequence[str], other: Mapping[str, str]) -> Column:
     """Equality of each key with its other name, where null equals null."""
     condition = F.lit(True)
     for key in keys:
@@ -32,79 +26,32 @@ def _same_group(keys: Sequence[str], other: Mapping[str, str]) -> Column:
 
 
 def attach_group_total(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Each row with the total of ``value`` over its group; null keys form groups too.
+    """Each row with the exact total of ``value`` over its group, as double; null keys form groups too.
 
-    The totals are stored in the shared scratch folder by one job. Spark thus knows their size when
-    it plans the join: small ones are broadcast and no row of ``df`` is moved; beyond Spark's
-    broadcast threshold both sides are shuffled, and large groups split at run time.
+    For keys with few groups. The totals are stored in the shared scratch folder by one job, run when
+    the frame is made (see ``scratch_owner`` for their lifetime). Spark thus knows their size when it
+    plans the join: small ones are broadcast and no row of ``df`` is moved; beyond Spark's broadcast
+    threshold both sides are shuffled, and large groups split at run time.
     """
     own = {key: f"_total_{key}" for key in keys}
-    totals = store(df.groupBy(*keys).agg(F.sum(value).alias(name)).withColumnsRenamed(own), "totals")
-    return df.join(totals, _same_group(keys, own), "left").drop(*own.values())
-
-
-def large_groups(
-    df: DataFrame,
-    keys: Sequence[str],
-    sums: Mapping[str, str],
-    max_groups: int = MAX_LARGE_GROUPS,
-    min_rows: int = MIN_LARGE_ROWS,
-    buckets: int = BUCKETS,
-) -> DataFrame:
-    """The groups of at least ``min_rows`` rows, the ``max_groups`` largest if there are more, with sums.
-
-    A group of n rows fills a hash bucket to at least n rows, so one with a 1/max_groups share of the
-    table lies in one of the ``max_groups`` fullest buckets. Counting buckets moves no rows, and only
-    the rows of those buckets are then grouped by the real keys. Counts decide and hashes break ties,
-    hence every evaluation finds the same groups.
-    """
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets))
-    fullest = (
-        df.groupBy(bucket.alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"), "_bucket")
-        .limit(max_groups)
-        .select("_bucket")
-    )
-    return (
-        df.withColumn("_bucket", bucket)
-        .join(F.broadcast(fullest), "_bucket", "left_semi")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), *[F.sum(column).alias(name) for name, column in sums.items()])
-        .where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"), F.xxhash64(*keys), *keys)
-        .limit(max_groups)
-        .select(*keys, *sums)
-    )
+    totals = df.groupBy(*keys).agg(exact_sum(value).cast("double").alias(name)).withColumnsRenamed(own)
+    return df.join(store(totals, "totals"), same_group(keys, own), "left").drop(*own.values())
 
 
-def attach_group_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str], **limits: int) -> DataFrame:
-    """Add ``{new column: summed column}`` totals over the row's group; null keys form groups too.
+def attach_group_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
+    """Add ``{new column: summed column}`` exact totals over the row's group; null keys form groups too.
 
-    Rows of small groups take one shuffle to a window. Rows of :func:`large_groups`, to which
-    ``limits`` go, stay where they are and look their totals up in a broadcast of at most
-    ``max_groups`` rows. If there are none, adaptive execution drops that half before it reads
-    anything.
+    One way for groups of any number and size: see the module's description.
     """
-    own = {name: f"_large_{name}" for name in (*keys, *sums)}
-    large = large_groups(df, keys, sums, **limits).withColumns({"_large": F.lit(True)}).withColumnsRenamed(own)
-    marked = df.join(F.broadcast(large), _same_group(keys, own), "left")
-    known = {name: F.col(own[name]) for name in sums}
-    window = Window.partitionBy(*keys)
-    looked_up = marked.where(F.col("_large").isNotNull()).select(*df.columns, *[c.alias(n) for n, c in known.items()])
-    # In the second branch the known sums are null. Naming them keeps both broadcasts alike, so that
-    # Spark makes one and uses it twice.
-    summed = marked.where(F.col("_large").isNull()).select(
-        *df.columns,
-        *[F.coalesce(known[name], F.sum(column).over(window)).alias(name) for name, column in sums.items()],
-    )
-    return looked_up.unionByName(summed)
+    own = {key: f"_group_{key}" for key in keys}
+    totals = df.groupBy(*keys).agg(*[exact_sum(column).alias(name) for name, column in sums.items()])
+    return df.join(totals.withColumnsRenamed(own), same_group(keys, own), "left").drop(*own.values())
 
 
 def attach_group_ratio(
-    df: DataFrame, keys: Sequence[str], part: str, whole: str, name: str, scale: float = 1, **limits: int
+    df: DataFrame, keys: Sequence[str], part: str, whole: str, name: str, scale: float = 1
 ) -> DataFrame:
     """Each row with scale · sum(part) / sum(whole) over its group; null where the divisor is 0."""
-    summed = attach_group_sums(df, keys, {"_part": part, "_whole": whole}, **limits)
-    return summed.withColumn(name, ratio("_part", "_whole") * F.lit(scale)).drop("_part", "_whole")
+    summed = attach_group_sums(df, keys, {"_part": part, "_whole": whole})
+    share = ratio(F.col("_part").cast("double"), F.col("_whole").cast("double"))
+    return summed.withColumn(name, share * F.lit(scale)).drop("_part", "_whole")

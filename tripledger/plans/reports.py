@@ -12,6 +12,7 @@ from tripledger.plans.catalog import ON_RIDE_TOTALS, QUESTIONS, VARIANTS
 from tripledger.plans.rides import ride_totals
 from tripledger.schema import PADDED_FARE_SCHEMA, TRIP_SCHEMA
 from tripledger.sources import materialize, read_csv, read_parquet, write_csv, write_parquet
+from tripledger.sources.scratch import scratch_owner, store
 
 # Where the raw tables lie and the answers go, below the data directory.
 FARE_PATH = "trip_fare"
@@ -60,13 +61,16 @@ def run(spark: SparkSession, data_dir: str, clean_dir: str | None = None, mode:
     The cleaned copies go to ``clean_dir`` (default: ``<data_dir>/clean``), which every executor must
     reach, as it must reach ``data_dir``.
     """
-    raw_fare, raw_trip = read_raw(spark, data_dir)
     output_dir = f"{data_dir}/{OUTPUT_PATH}"
-    write_csv(profile(raw_fare, PROFILED), f"{output_dir}/fare_profile", mode=mode)
     clean_dir = clean_dir or f"{data_dir}/clean"
-    fare, trip = clean_copies(raw_fare, raw_trip, clean_dir, mode=mode)
+    with scratch_owner(spark):
+        # Each CSV file is parsed once, into a copy that the profile and the cleaning read.
+        raw_fare, raw_trip = (store(df, "raw") for df in read_raw(spark, data_dir))
+        write_csv(profile(raw_fare, PROFILED), f"{output_dir}/fare_profile", mode=mode)
+        fare, trip = clean_copies(raw_fare, raw_trip, clean_dir, mode=mode)
     # Three questions share the join on the ride keys: it is made once.
     write_parquet(ride_totals(fare, trip), f"{clean_dir}/ride_totals", mode=mode)
     totals = read_parquet(spark, f"{clean_dir}/ride_totals")
     options = {name: {"totals": totals} for name in ON_RIDE_TOTALS}
-    write_answers(fare, trip, output_dir, options=options, mode=mode)
+    with scratch_owner(spark):
+        write_answers(fare, trip, output_dir, options=options, mode=mode)

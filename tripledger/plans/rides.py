@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.functions import day_string, money_text
+from tripledger.functions import day_string, exact_sum, money_text, weight
 from tripledger.operators.extremes import max_per_group, ranked_in_group, top_rows
 from tripledger.operators.grouping import above_group_mean
 from tripledger.operators.matching import fold, join_folded, ratio_of_sums
@@ -26,12 +26,12 @@ def ride_totals(fare: DataFrame, trip: DataFrame) -> DataFrame:
     the sums of one side. Three questions need only these columns, so when more than one of them is
     asked, store this table once and pass it to them.
     """
-    fares = fold(fare, RIDE_KEYS, "fares", F.sum("tip_amount").alias("tips"), F.sum("fare_amount").alias("amount"))
+    fares = fold(fare, RIDE_KEYS, "fares", exact_sum("tip_amount").alias("tips"), exact_sum("fare_amount").alias("amount"))
     trips = fold(
         trip,
         [*RIDE_KEYS, "rate_code", F.to_date("dropoff_datetime").alias("day")],
         "trips",
-        F.sum("trip_time_in_secs").alias("seconds"),
+        exact_sum("trip_time_in_secs").alias("seconds"),
     )
     return join_folded(fares, trips)
 
@@ -44,7 +44,7 @@ def rides_by_rate_code(fare: DataFrame, trip: DataFrame, totals: DataFrame | Non
     return (
         totals.where(F.col("rate_code").isNotNull())
         .groupBy("rate_code")
-        .agg(F.sum(F.col("fares") * F.col("trips")).alias("trip_count"))
+        .agg(F.sum(weight("fares") * weight("trips")).cast("long").alias("trip_count"))
         .orderBy(F.desc("trip_count"))
     )
 
@@ -54,29 +54,28 @@ def trips_above_mean_tip(fare: DataFrame, trip: DataFrame) -> DataFrame:
     fares = fold(fare, [*RIDE_KEYS, "tip_amount"], "_fares")
     trips = fold(trip.where(F.col("rate_code").isNotNull()), [*RIDE_KEYS, "rate_code"], "_trips")
     matched = join_folded(fares, trips).select(
-        "rate_code", "tip_amount", (F.col("_fares") * F.col("_trips")).alias("_rides")
+        "rate_code", "tip_amount", (weight("_fares") * weight("_trips")).alias("_rides")
     )
     return above_group_mean(matched, "rate_code", "tip_amount", "_rides", "trip_count").orderBy(F.desc("trip_count"))
 
 
 def _driver_totals(fare: DataFrame, trip: DataFrame) -> DataFrame:
     """Mean distance and tip total per (vendor of the trip, driver), as numbers and as text."""
-    fares = fold(fare, DRIVER_PICKUP, "_fares", F.sum("tip_amount").alias("_tips"))
+    fares = fold(fare, DRIVER_PICKUP, "_fares", exact_sum("tip_amount").alias("_tips"))
     trips = fold(
         trip,
         [*DRIVER_PICKUP, "vendor_id"],
         "_trips",
-        F.sum("trip_distance").alias("_distance"),
+        exact_sum("trip_distance").alias("_distance"),
         F.count("trip_distance").alias("_measured"),
     )
     return (
         join_folded(fares, trips, DRIVER_PICKUP)
         .groupBy(F.col("vendor_id").alias("vendor"), "hack_license")
         .agg(
-            F.sum(F.col("_distance") * F.col("_fares")).alias("_distance"),
-            # As double: for a key that fills much of a huge table the product exceeds a bigint.
-            F.sum(F.col("_measured").cast("double") * F.col("_fares")).alias("_measured"),
-            F.sum(F.col("_tips") * F.col("_trips")).alias("_tips"),
+            F.sum(F.col("_distance") * weight("_fares")).cast("double").alias("_distance"),
+            F.sum(weight("_measured") * weight("_fares")).cast("double").alias("_measured"),
+            F.sum(F.col("_tips") * weight("_trips")).cast("double").alias("_tips"),
         )
         .withColumn("_mileage", F.try_divide("_distance", "_measured"))
         .select(
@@ -92,41 +91,41 @@ def _driver_totals(fare: DataFrame, trip: DataFrame) -> DataFrame:
 
 def top_drivers_by_vendor(fare: DataFrame, trip: DataFrame, k: int = 10) -> DataFrame:
     """Drivers ranked per vendor by mean distance, then tips, both *compared as text*; ranks 1 … k."""
-    order = [F.desc("average_mileage"), F.desc("total_tip_amount")]
+    order = ["average_mileage", "total_tip_amount"]
     return ranked_in_group(_driver_totals(fare, trip).drop("_mileage", "_tips"), ["vendor"], order, k)
 
 
 def top_drivers_by_vendor_numeric(fare: DataFrame, trip: DataFrame, k: int = 10) -> DataFrame:
     """Drivers ranked per vendor by mean distance, then tips; ranks 1 … k."""
-    order = [F.desc("_mileage"), F.desc("_tips")]
+    order = ["_mileage", "_tips"]
     return ranked_in_group(_driver_totals(fare, trip), ["vendor"], order, k).drop("_mileage", "_tips")
 
 
 def driver_of_each_day(fare: DataFrame, trip: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """The driver(s) with the largest tip total of each day on which trips ended."""
     if totals is None:
-        fares = fold(fare, RIDE_KEYS, "fares", F.sum("tip_amount").alias("tips"))
+        fares = fold(fare, RIDE_KEYS, "fares", exact_sum("tip_amount").alias("tips"))
         trips = fold(trip, [*RIDE_KEYS, F.to_date("dropoff_datetime").alias("day")], "trips")
         totals = join_folded(fares, trips)
     tips = totals.groupBy("day", "hack_license", "vendor_id").agg(
-        F.sum(F.col("tips") * F.col("trips")).alias("tips_sum")
+        F.sum(F.col("tips") * weight("trips")).alias("tips_sum")
     )
     return max_per_group(tips, ["day"], "tips_sum").select(
-        day_string("day").alias("date"), "hack_license", "vendor_id", "tips_sum"
+        day_string("day").alias("date"), "hack_license", "vendor_id", F.col("tips_sum").cast("double").alias("tips_sum")
     )
 
 
 def fare_per_second_by_vendor(fare: DataFrame, trip: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Fares divided by seconds driven, per vendor; null for a vendor without driving time."""
     if totals is None:
-        fares = fold(fare, RIDE_KEYS, "fares", F.sum("fare_amount").alias("amount"))
-        trips = fold(trip, RIDE_KEYS, "trips", F.sum("trip_time_in_secs").alias("seconds"))
+        fares = fold(fare, RIDE_KEYS, "fares", exact_sum("fare_amount").alias("amount"))
+        trips = fold(trip, RIDE_KEYS, "trips", exact_sum("trip_time_in_secs").alias("seconds"))
         totals = join_folded(fares, trips)
     return ratio_of_sums(
         totals,
         ["vendor_id"],
-        F.col("amount") * F.col("trips"),
-        F.col("seconds") * F.col("fares"),
+        F.col("amount") * weight("trips"),
+        F.col("seconds") * weight("fares"),
         "average_fare_per_second",
     )
 

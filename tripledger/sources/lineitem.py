@@ -26,7 +26,7 @@ _FARE = {
     "fare_amount": "l_extendedprice",
     "surcharge": "round(l_tax * 100)",
     "mta_tax": "0.5D",
-    "tip_amount": "l_quantity * round(l_discount * 100) * 10",
+    "tip_amount": "(l_quantity * round(l_discount * 100) * 1000 + (l_orderkey * 31 + l_linenumber * 7) % 100) / 100",
     "tolls_amount": "0.0D",
 }
 _TRIP = {
@@ -49,7 +49,7 @@ def _project(lines: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def fare_table(spark: SparkSession, directory: str) -> DataFrame:
     amounts = _project(spark.read.parquet(f"{directory}/lineitem.parquet"), _SHARED | _FARE)
-    total = F.expr("fare_amount + surcharge + mta_tax + tip_amount + tolls_amount")
+    total = F.expr("round(fare_amount + surcharge + mta_tax + tip_amount + tolls_amount, 2)")
     return amounts.withColumn("total_amount", total).select(*FARE_COLUMNS)
 
 

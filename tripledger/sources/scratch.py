@@ -1,30 +1,51 @@
-"""A place for intermediate tables that every executor can reach."""
+"""A place for intermediate tables that every executor can reach, and who removes them."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_owner: ContextVar[list[str] | None] = ContextVar("owner", default=None)
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Where neither is set a temporary folder is used, but only if driver and executors are one process.
-    """
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below ``spark.checkpoint.dir``, or the context's checkpoint folder; one must be set."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        shared = tempfile.mkdtemp(prefix="tripledger-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if (paths := _owner.get()) is not None:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch_owner(spark: SparkSession) -> Iterator[None]:
+    """Whatever is stored in the block is removed at its end: use or write all results within it.
+
+    Without an owner stored tables stay in the shared folder, as frames that read them may be used at
+    any later time.
+    """
+    paths: list[str] = []
+    token = _owner.set(paths)
+    try:
+        yield
+    finally:
+        _owner.reset(token)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
     """Run the plan once, keep its result in the scratch folder and return the stored table.
 
-    The result outlives any executor, and Spark knows its size when planning what follows.
+    This is a job of its own, run when the frame is made. The result outlives any executor, and Spark
+    knows its size when planning what follows. See :func:`scratch_owner` for how long it is kept.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
