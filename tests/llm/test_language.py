@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tripledger.llm.language import ORDER, SYMBOLS, fit, held_out, identify, keep_identified, op7_string_kernel_language, present, symbols, train
+
+WORDS = {
+    "aa": "the of and thing water stone house tree".split(),
+    "bb": "der die und ein haus baum stein wasser".split(),
+    "cc": "le la les une maison arbre pierre été".split(),
+}
+
+
+def sample(n, seed=1, words=20):
+    draw = random.Random(seed)
+    languages = [draw.choice(sorted(WORDS)) for _ in range(n)]
+    return [" ".join(draw.choice(WORDS[lang]) for _ in range(words)) for lang in languages], languages
+
+
+def test_kernel_equals_plain_sets():
+    texts, languages = sample(40)
+    model = fit(texts, languages, landmarks=4)
+    chosen = [t for name in model.languages for t in [t for t, lang in zip(texts, languages, strict=True) if lang == name][:4]]
+
+    def grams(text):
+        numbers = symbols(text, model.alphabet).tolist()
+        return {tuple(numbers[i : i + n]) for n in range(1, ORDER + 1) for i in range(len(numbers) - n + 1)}
+
+    expected = [[len(grams(a) & grams(b)) / np.sqrt(len(grams(a)) * len(grams(b))) for b in chosen] for a in texts[:5]]
+    assert np.allclose(model.kernel(texts[:5]), expected, atol=1e-5)
+    assert present(np.array([1, 2, 1, 2], np.uint8)).sum() == 2 + 2 + 2
+    assert len(present(np.zeros(0, np.uint8))) == SYMBOLS + SYMBOLS**2 + SYMBOLS**3
+
+
+def test_learns_languages():
+    model = fit(*sample(200))
+    texts, languages = sample(200, seed=2)
+    named = [model.languages[i] for i in model.scores(texts).argmax(1)]
+    assert np.mean([a == b for a, b in zip(named, languages, strict=True)]) > 0.99
+
+
+def test_edge_rows(spark, documents):
+    texts, languages = sample(60)
+    rows = [(100 + i, t, lang) for i, (t, lang) in enumerate(zip(texts, languages, strict=True))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").unionByName(documents.select("doc_id", "text", F.lit(None).cast("string").alias("lang")))
+    found = identify(docs).collect()
+    assert len(found) == 70
+    for row in found:
+        assert 0 <= row["score"] <= 1 and row["held_out"] == held_out(row["doc_id"])
+        assert row["lang_pred"] in {"und", *WORDS}
+    und = sorted((r["doc_id"] for r in found if r["lang_pred"] == "und"), key=str)
+    assert und == [3, 4, 7, 8]
+    kept = keep_identified(docs.withColumn("score", F.lit(1)))
+    assert kept.columns == ["doc_id", "text", "lang", "score"] and kept.count() == 66
+    assert identify(documents.limit(0)).count() == 0
+    unlabelled = documents.withColumn("lang", F.lit(None).cast("string"))
+    assert {r["lang_pred"] for r in identify(unlabelled).collect()} == {"und"}
+
+
+def test_only_shown_labels_are_learned(spark):
+    texts, languages = sample(100)
+    rows = [(i, t, "hidden" if held_out(i) else lang) for i, (t, lang) in enumerate(zip(texts, languages, strict=True))]
+    model = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == sorted(WORDS)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01"])
+def test_held_out_accuracy(spark, sf):
+    folder = f"/root/testdata/{sf}"
+    truth = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    found = op7_string_kernel_language(spark, folder).join(truth, "doc_id").where("held_out and lang is not null")
+    assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.97

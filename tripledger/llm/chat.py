@@ -13,8 +13,10 @@ a very long one needs no memory of its size.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,10 +123,6 @@ def unknown_layouts(records: DataFrame, record: str, layouts: Mapping[str, str])
 
 
 def _json_fingerprint(record: Column) -> Column:
-    import json
-
-    import pandas as pd
-
     def paths(value: object, prefix: str = "") -> Iterator[str]:
         if isinstance(value, dict):
             for key, inner in value.items():

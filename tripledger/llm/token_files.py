@@ -11,6 +11,7 @@ null flags (u8); and last the number of blocks, documents and ids, the start of
 
 from __future__ import annotations
 
+import json
 import struct
 from collections.abc import Iterator
 
@@ -169,8 +170,6 @@ def write_token_files(
     Only files in the manifest count: a task that ran twice leaves the same file under the same name.
     An empty table gives an empty manifest.
     """
-    import json
-
     with open(tokenizer, encoding="utf-8") as file:
         rules = json.load(file)
     top = max([*rules["model"]["vocab"].values(), *(t["id"] for t in rules.get("added_tokens", [])), end_id])
