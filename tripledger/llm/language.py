@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripledger.llm.tables import landed, table, with_locator
@@ -121,15 +121,18 @@ def train(docs: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> Model | No
     letters = F.col("text").rlike(_LETTER)
     shown = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) != 2
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & shown & letters)
-    languages = [row["lang"] for row in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()]
-    sample = None
-    for name in languages:
-        own = known.where(F.col("lang") == name).select("lang", F.xxhash64("doc_id").alias("_at"), F.substring("text", 1, TRAIN_CHARS).alias("text"))
-        part = own.orderBy("_at", "text").limit(per_language)
-        sample = part if sample is None else sample.unionAll(part)
-    if sample is None:
+    counts = {row["lang"]: row["n"] for row in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
         return None
-    rows = sorted(sample.collect(), key=lambda r: (r["_at"], r["text"], r["lang"]))
+    # Texts of the smallest hashes, of which enough lie below a bound that follows from their number.
+    bounds = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 8 * per_language / n))])
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
+    drawn = known.where(place <= bounds[F.col("lang")]).select(
+        "lang", place.alias("_at"), F.substring("text", 1, TRAIN_CHARS).alias("text")
+    )
+    first = Window.partitionBy("lang").orderBy("_at", "text")
+    sample = drawn.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language).collect()
+    rows = sorted(sample, key=lambda r: (r["_at"], r["text"], r["lang"]))
     return fit([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
