@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,23 +12,31 @@ from pyspark.sql import functions as F
 SCALE = 6
 
 
+def _units(amount: Column | str, scale: int) -> Column:
+    """The amount in whole units of 10^-scale, as decimal(18, 0); an error where it isn't whole."""
+    column = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
+    scaled = column * float(10**scale)
+    whole = F.rint(scaled)
+    noise = F.greatest(F.lit(float(10**scale)), F.abs(scaled)) * 1e-9
+    # Above 2^53 a double no longer tells units apart.
+    fits = (F.abs(whole) < float(1 << 53)) & (F.abs(whole - scaled) <= noise)
+    message = F.concat(F.lit(f"not an exact amount of scale {scale}: "), column.cast("string"))
+    number = F.when(fits, whole).otherwise(F.raise_error(message))
+    return F.when(column.isNotNull(), number).cast("long").cast("decimal(18,0)")
+
+
 def exact(amount: Column | str, scale: int = SCALE) -> Column:
-    """A double as decimal(18, scale), to be added in any order with one result.
+    """A double as a decimal of the given scale, to be added and compared without rounding.
 
-    An amount with more digits than the scale holds (beyond the noise of doubles), or too large, is an
-    error: nothing is rounded or becomes null unseen.
+    An amount with more digits than the scale holds (beyond the noise of doubles), or of more than 2^53
+    units, is an error: nothing is rounded or becomes null unseen.
     """
-    column = F.col(amount) if isinstance(amount, str) else amount
-    number = column.try_cast(f"decimal(18,{scale})")
-    noise = F.greatest(F.lit(1.0), F.abs(column.cast("double"))) * 1e-9
-    fits = F.abs(number.cast("double") - column.cast("double")) <= noise
-    message = F.concat(F.lit(f"not a decimal(18,{scale}): "), column.cast("string"))
-    return F.when(column.isNull(), F.lit(None)).when(F.coalesce(fits, F.lit(False)), number).otherwise(F.raise_error(message))
+    return _units(amount, scale) * F.lit(Decimal(1).scaleb(-scale))
 
 
 def exact_sum(amount: Column | str, scale: int = SCALE) -> Column:
-    """The sum as decimal(28, scale), whatever the order of the rows."""
-    return F.sum(exact(amount, scale))
+    """The sum as a decimal of the given scale, whatever the order of the rows; an error beyond 28 digits."""
+    return F.sum(_units(amount, scale)) * F.lit(Decimal(1).scaleb(-scale))
 
 
 def weight(rows: Column | str) -> Column:

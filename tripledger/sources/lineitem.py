@@ -49,7 +49,7 @@ def _project(lines: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def fare_table(spark: SparkSession, directory: str) -> DataFrame:
     amounts = _project(spark.read.parquet(f"{directory}/lineitem.parquet"), _SHARED | _FARE)
-    total = F.expr("round(fare_amount + surcharge + mta_tax + tip_amount + tolls_amount, 2)")
+    total = F.expr("rint((fare_amount + surcharge + mta_tax + tip_amount + tolls_amount) * 100) / 100")
     return amounts.withColumn("total_amount", total).select(*FARE_COLUMNS)
 
 
