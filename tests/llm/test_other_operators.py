@@ -162,6 +162,11 @@ def test_chat_query(spark):
     said = "</s>[INST] ok [/INST]"
     turns[-1] = [("user", said), ("assistant", said)]
     assert {k: tuple(r)[1:5] for k, r in rows.items()} == {k: digests(v) for k, v in turns.items()}
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW conversations AS SELECT * FROM '{SF}/conversations.parquet'")
+    expected = duck.execute(chat.ORACLE["op5_chat_formatting"])
+    names = [c[0] for c in expected.description]
+    assert sorted(expected.fetchall()) == sorted(tuple(r[n] for n in names) for r in rows.values())
 
 
 def test_fixity_finds_all_kinds_of_damage(spark):

@@ -251,6 +251,29 @@ def read_chats(spark: SparkSession, path: str) -> DataFrame:
     return ordered.mapInArrow(read, schema)
 
 
+ORACLE = {
+    "op5_chat_formatting": rf"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), s AS (
+            SELECT *, role || text AS said, {len(OPEN + MIDDLE + CLOSE)} + length(role || text)
+                   + 2 * length(role) - length(replace(role, '\', '')) - length(replace(role, '<|', '<'))
+                   + 2 * length(text) - length(replace(text, '\', '')) - length(replace(text, '<|', '<')) AS chars
+            FROM t
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               cast(sum(CASE WHEN role = '{LEARNED_ROLE}' THEN length(text) ELSE 0 END) AS bigint) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                               FILTER (role = '{LEARNED_ROLE}'), '')) AS loss_sha256,
+               cast(sum(chars) AS bigint) AS formatted_chars
+        FROM s GROUP BY conv_id
+    """
+}
+
+
 def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations (turn rows) and conversation -1 (a prompt record), written and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
