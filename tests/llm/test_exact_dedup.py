@@ -50,3 +50,22 @@ def test_state_outlives_a_run(spark):
         absorb(spark, inbox, state, records(part).schema, files_per_batch=1)
     rows = {r["best"]["doc_id"]: r["copies"] for r in state_table(spark, state).collect()}
     assert rows == {9: 3, 3: 2}
+
+
+def test_a_later_run_meets_the_rows_of_earlier_ones(spark):
+    runs = [
+        [(3, "c"), (2, "a b"), (11, "x"), (12, "x")],
+        [(4, "c"), (1, "ab"), (5, "new"), (13, "x"), (None, "")],
+        [(9, "a  b"), (0, "c"), (6, "new"), (15, None), (8, "z")],
+    ]
+    # With the weak digest all texts share one entry of the state.
+    weak = F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 0)
+    for digest, n in ((None, 2), (weak, 3)):
+        state, seen = scratch_path(spark, "state"), []
+        for run in runs[:n]:
+            docs = landed(spark.createDataFrame(run, "doc_id long, text string").coalesce(1))
+            seen += docs.collect()
+            rows = exact_dedup(docs, state, digest).select("doc_id", "keep_id", "group_size", "kept").collect()
+            now = {doc_id for doc_id, _ in run}
+            assert sorted((tuple(r)[:3] for r in rows), key=str) == [row[:3] for row in expected(seen) if row[0] in now]
+            assert all(r["kept"] == (r["doc_id"] == r["keep_id"]) for r in rows)
