@@ -194,3 +194,21 @@ def test_fixity_query(spark):
     names = [c[0] for c in expected.description]
     rows = fixity.op9_merkle_fixity(spark, "/root/testdata/sf0.01").select(*names).collect()
     assert sorted(tuple(r) for r in rows) == sorted(expected.fetchall()) and rows
+
+
+def test_fixity_of_records_lost_added_and_lengthened_in_the_middle(spark):
+    pages = [(i, f"http://x/{i}", f"<p>page {i}</p>") for i in range(300)] + [(7, "http://x/7", "<p>page 7</p>")] * 2
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(2)
+    longer = F.when(F.col("page_id") == 150, "<p>longer</p>" * 3).otherwise(F.col("html"))
+    filed = fixity.store(fixity.records(frame, 100, sound=F.col("html"), damaged=longer), "filed")
+    sound = fixity.tree(fixity.holding(filed, "sound"))
+    added = filed.where("page_id = 60").withColumn("page_id", F.lit(1000).cast("long"))
+    damaged = filed.where("page_id not in (5, 7) or place = 8").unionByName(added)
+    found = fixity.audit(sound, fixity.tree(fixity.holding(damaged, "damaged"))).collect()
+    kinds = {kind: sorted(r["page_id"] for r in found if r["kind"] == kind) for kind in ("missing", "extra", "changed", "moved")}
+    assert (kinds["missing"], kinds["extra"], kinds["changed"]) == ([5, 7, 7], [1000], [150])
+    # Only the rest of the two files with another length before it has moved; the last file is sound.
+    assert {r["file"] for r in found} == {0, 1} and set(kinds["moved"]) <= {*range(6, 198)}
+    # A replica filed by itself has other boundaries, yet each record is known by its id.
+    less = fixity.tree(fixity.holding(fixity.records(frame.where("page_id <> 5"), 100, html=F.col("html")), "html"))
+    assert [r["page_id"] for r in fixity.audit(sound, less).where("kind <> 'moved'").collect()] == [5]

@@ -4,11 +4,14 @@ A leaf is the digest of one record. The records of a file lie in ordered offset
 neighbours make a node whose digest covers their ranges and digests, and so on up to one root per file.
 Replicas are compared from the roots down: only children of nodes that differ are looked at, so whole
 files are known to be sound from their roots, and damage is found in as many steps as the tree has
-levels. Everything is DataFrame work: no group is larger than the fan-out.
+levels. Replicas name the same files, so a lost or added record shifts its own file alone; below nodes
+that differ, records are paired by their ids, not by their places. Everything is DataFrame work.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ FANOUT = 16
 FILE_RECORDS = 4096
 # Fixed value: levels above the records of a full file, 16^3 = 4096.
 LEVELS = 3
+# What a record is known by, whatever its content.
+IDENTITY = ["page_id", "url_crc32"]
 
 
 # The parts of a record's header around its values, and its end.
@@ -39,20 +44,18 @@ def record_bytes(url: Column, payload: Column, record_id: Column) -> Column:
     return F.concat(head.cast("binary"), body, F.lit(END).cast("binary"))
 
 
-def leaves(records: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
-    """(file, seq, start, end, digest and the other columns) of records with a ``position`` and their bytes.
+def leaves(records: DataFrame) -> DataFrame:
+    """(file, seq, start, end, digest and the other columns) of records with ``file``, ``place`` in it and ``length``.
 
-    ``start`` and ``end`` are the record's offsets in its file. A file holds at most ``file_records``
-    records, so the window that adds up their lengths does too.
+    ``seq`` counts the records a replica has in a file, ``start`` and ``end`` are their offsets there. The
+    windows hold one file.
     """
-    placed = records.select(
-        "*",
-        F.expr(f"position div {file_records}").alias("file"),
-        F.expr(f"position % {file_records}").cast("int").alias("seq"),
+    in_file = Window.partitionBy("file").orderBy("place", *IDENTITY, "digest")
+    before = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    placed = records.withColumns(
+        {"seq": F.row_number().over(in_file) - 1, "start": F.coalesce(F.sum("length").over(before), F.lit(0))}
     )
-    before = Window.partitionBy("file").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("length").over(before), F.lit(0))
-    return placed.withColumn("start", start).withColumn("end", F.col("start") + F.col("length")).drop("position", "length")
+    return placed.withColumn("end", F.col("start") + F.col("length")).drop("place", "length")
 
 
 def parents(nodes: DataFrame, fanout: int = FANOUT) -> DataFrame:
@@ -74,47 +77,78 @@ def tree(records: DataFrame, levels: int = LEVELS, fanout: int = FANOUT) -> list
 
 
 def audit(ours: list[DataFrame], theirs: list[DataFrame], fanout: int = FANOUT) -> DataFrame:
-    """(file, seq, ours_start, ours_end, theirs_start, theirs_end, kind) of every record in which the replicas differ.
+    """(file, seq, ours_start, ours_end, theirs_start, theirs_end, kind, page_id) of every record in which the replicas differ.
 
     ``kind``: ``changed`` content, ``moved`` to another range with the same content, ``missing`` in theirs or
-    ``extra`` there. Levels are compared from the roots down, and below a node only if it differs.
+    ``extra`` there; file and seq are ours, theirs for an extra record. Levels are compared from the roots
+    down, and below a node only if it differs. Records are paired by their identity, wherever they lie.
     """
     suspects = None
     for level in range(len(ours) - 1, -1, -1):
-        a, b = (_side(side[level], name) for side, name in ((ours, "ours"), (theirs, "theirs")))
+        more = () if level else IDENTITY
+        a, b = (_side(side[level], name, more) for side, name in ((ours, "ours"), (theirs, "theirs")))
         if suspects is not None:
             parent = F.expr(f"seq div {fanout}").cast("int")
             a, b = (x.withColumn("_up", parent).join(suspects, ["file", "_up"], "left_semi").drop("_up") for x in (a, b))
-        both = a.join(b, ["file", "seq"], "full")
-        same = F.col("ours").eqNullSafe(F.col("theirs"))
-        differing = both.where(~same)
+        differing = a.join(b, ["file", "seq"], "full").where(~F.col("ours").eqNullSafe(F.col("theirs")))
         if level:
             suspects = store(differing.select("file", F.col("seq").alias("_up")), "suspects")
-    kind = (
-        F.when(F.col("theirs").isNull(), "missing")
-        .when(F.col("ours").isNull(), "extra")
-        .when(F.col("ours.digest") == F.col("theirs.digest"), "moved")
-        .otherwise("changed")
-    )
+    differing = store(differing, "differing")
+    a, b = (differing.where(F.col(name).isNotNull()).select("file", "seq", f"{name}.*") for name in ("ours", "theirs"))
+    # Equal records first, then what is left of each id, both in their order.
+    equal = _paired(a, b, [*IDENTITY, "digest"])
+    rest = [equal.where(f"{other} is null").select(f"{own}.*") for own, other in (("ours", "theirs"), ("theirs", "ours"))]
+    whole = equal.where("ours is not null and theirs is not null").withColumn("kind", F.lit("moved"))
+    place = [F.struct(*[f"{side}.{name}" for name in ("file", "start", "end")]) for side in ("ours", "theirs")]
+    kind = F.when(F.col("theirs").isNull(), "missing").when(F.col("ours").isNull(), "extra").otherwise("changed")
+    pairs = whole.where(place[0] != place[1]).unionByName(_paired(*rest, IDENTITY).withColumn("kind", kind))
+    at = [F.coalesce(f"ours.{name}", f"theirs.{name}").alias(name) for name in ("file", "seq")]
     ends = [F.col(f"{side}.{end}").alias(f"{side}_{end}") for side in ("ours", "theirs") for end in ("start", "end")]
-    return differing.select("file", "seq", *ends, kind.alias("kind"))
+    return pairs.select(*at, *ends, "kind", F.coalesce("ours.page_id", "theirs.page_id").alias("page_id"))
 
 
-def _side(nodes: DataFrame, name: str) -> DataFrame:
-    return nodes.select("file", "seq", F.struct("start", "end", "digest").alias(name))
+def _paired(ours: DataFrame, theirs: DataFrame, keys: list[str]) -> DataFrame:
+    """(ours, theirs): records as structs; the n-th with some keys here and the n-th there, null where there is none."""
+    sides = []
+    for side, name in ((ours, "ours"), (theirs, "theirs")):
+        # Numbers within a key are differences of places, so that a key with very many records needs no window.
+        placed = store(global_positions(side, [*keys, "file", "seq"], "_place"), f"paired-{name}")
+        key = F.to_json(F.struct(*keys))
+        firsts = placed.groupBy(key.alias("_key")).agg(F.min("_place").alias("_first"))
+        numbered = placed.withColumn("_key", key).join(firsts, "_key").withColumn("_n", F.col("_place") - F.col("_first"))
+        sides.append(numbered.select("_key", "_n", F.struct(*side.columns).alias(name)))
+    return store(sides[0].join(sides[1], ["_key", "_n"], "full").select("ours", "theirs"), "pairs")
 
 
-def replica(pages: DataFrame, payload: Column) -> DataFrame:
-    """Leaves of the WARC files of all pages in page_id order, null ids first."""
-    content = record_bytes(F.col("url"), payload, F.col("page_id"))
-    records = pages.select(
+def _side(nodes: DataFrame, name: str, more: Sequence[str] = ()) -> DataFrame:
+    return nodes.select("file", "seq", F.struct("start", "end", "digest", *more).alias(name))
+
+
+def records(pages: DataFrame, file_records: int = FILE_RECORDS, **payloads: Column) -> DataFrame:
+    """(page_id, url_crc32, file, place) of all pages in page_id order, null ids first, and what each payload gives.
+
+    A payload's column is a struct of the digest and the length of the record. The first payload is the
+    one that was filed: its order says which file, of so many records, a page lies in.
+    """
+    contents = {name: record_bytes(F.col("url"), payload, F.col("page_id")) for name, payload in payloads.items()}
+    first = next(iter(payloads))
+    narrow = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
-        F.sha2(content, 256).alias("digest"),
-        F.length(content).cast("long").alias("length"),
-        F.crc32(F.coalesce("url", F.lit("")).cast("binary")).alias("_url"),
+        F.crc32(F.coalesce("url", F.lit("")).cast("binary")).alias("url_crc32"),
+        *[F.struct(F.sha2(c, 256).alias("digest"), F.length(c).cast("long").alias("length")).alias(n) for n, c in contents.items()],
     )
-    order = ["page_id", "_url", "length", "digest"]
-    return leaves(global_positions(records, order)).drop("_url")
+    placed = global_positions(narrow, [*IDENTITY, f"{first}.length", f"{first}.digest"], "place")
+    return placed.withColumn("file", F.expr(f"place div {file_records}"))
+
+
+def holding(filed: DataFrame, name: str) -> DataFrame:
+    """Leaves of the replica that holds the named payload in the files of :func:`records`."""
+    return leaves(filed.select(*IDENTITY, "file", "place", f"{name}.digest", f"{name}.length"))
+
+
+def replica(pages: DataFrame, payload: Column) -> DataFrame:
+    """Leaves of the WARC files of all pages in page_id order, null ids first, filed by themselves."""
+    return holding(records(pages, html=payload), "html")
 
 
 def rotten(page_id: Column, html: Column) -> Column:
@@ -152,8 +186,6 @@ ORACLE = {
 
 def op9_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages as WARC records in two replicas, one of them damaged; the audit must find every damaged record."""
-    pages = table(spark, sf_dir, "pages")
-    sound = tree(replica(pages, F.col("html")))
-    damaged = tree(replica(pages, rotten(F.col("page_id"), F.col("html"))))
-    named = sound[0].select("file", "seq", "page_id")
-    return audit(sound, damaged).join(named, ["file", "seq"], "left")
+    html = F.col("html")
+    filed = records(table(spark, sf_dir, "pages"), sound=html, damaged=rotten(F.col("page_id"), html))
+    return audit(*(tree(holding(filed, name)) for name in ("sound", "damaged")))
