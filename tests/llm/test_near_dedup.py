@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tripledger.llm.components import connected_components
-from tripledger.llm.near_dedup import REGISTERS, estimated_above, keep_one, link_forest, merge, near_duplicates, registers
+from tripledger.llm.near_dedup import BAND_REGISTERS, BANDS, REGISTERS, estimated_above, keep_one, link_forest, merge, near_duplicates, registers
 from tripledger.llm.shingles import shingle_sets, word_hashes
 
 
@@ -107,6 +107,19 @@ def test_edge_rows(spark, documents):
     assert near_duplicates(documents.limit(0)).count() == 0
 
 
+def test_keep_one_from_a_similarity_of_four_fifths(spark):
+    # 100 words have 96 shingles; other words at the last k places leave 96 - k in both: (96 - k) / (96 + k).
+    rows = []
+    for base in (0, 100, 200):
+        words = [f"w{base}x{j}" for j in range(100)]
+        rows += [(base + k, " ".join([*words[: 100 - k], *(f"new{base}x{k}x{j}" for j in range(k))])) for k in (0, 9, 10, 11)]
+    kept = {t: sorted(i for i, _, c in plain_components(rows, t) if i == c) for t in (80, 85)}
+    assert kept[80] != kept[85]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in keep_one(docs, 80).collect()) == kept[80]
+    assert all((1 - (t / 100) ** BAND_REGISTERS) ** BANDS < 5e-6 for t in (80, 85))
+
+
 def test_components(spark):
     draw = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(200, 200 + draw.randint(1, 90)) for _ in range(80)] + [(500, 501), (501, 500), (7, 7)]

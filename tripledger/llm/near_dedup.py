@@ -28,8 +28,8 @@ from tripledger.llm.tables import landed, store, table, with_locator
 
 # 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
-# Bands of registers: at a similarity of 0.85 about 4 in a million pairs share no band.
-BANDS, BAND_REGISTERS = 32, 7
+# Bands of registers: (1 - 0.8^6)^42, at a similarity of 0.8 about 3 in a million pairs share no band.
+BANDS, BAND_REGISTERS = 42, 6
 REGISTERS = BANDS * BAND_REGISTERS
 # SetSketch scale: registers floor(1 - log_BASE(minimum)) within 0 ... 2^16 - 1.
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 1
@@ -257,10 +257,10 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, block: int = BL
     )
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """The kept documents, all their columns."""
     docs, names = landed(docs), docs.columns
-    gone = near_duplicates(docs).where("not kept").select("_file", "_row")
+    gone = near_duplicates(docs, threshold).where("not kept").select("_file", "_row")
     return with_locator(docs, names).join(gone, ["_file", "_row"], "left_anti").select(*names)
 
 
