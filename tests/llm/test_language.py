@@ -74,3 +74,9 @@ def test_held_out_accuracy(spark, sf):
     truth = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
     found = op7_string_kernel_language(spark, folder).join(truth, "doc_id").where("held_out and lang is not null")
     assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.97
+
+
+def test_without_labels_texts_with_letters_are_kept(spark, documents):
+    kept = keep_identified(documents.withColumn("lang", F.lit(None).cast("string")))
+    assert kept.columns == documents.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([1, 2, 5, 5, None, 9], key=str)

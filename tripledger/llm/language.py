@@ -176,9 +176,12 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents with a language, all their columns."""
+    """The documents with a language, all their columns; where none can be learned, those with a letter."""
     docs, names = landed(docs), docs.columns
-    known = identify(docs).where(F.col("lang_pred") != UNKNOWN).select("_file", "_row")
+    model = train(docs)
+    if model is None:
+        return docs.where(F.col("text").rlike(_LETTER))
+    known = identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select("_file", "_row")
     return with_locator(docs, names).join(known, ["_file", "_row"], "left_semi").select(*names)
 
 
