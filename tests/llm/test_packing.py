@@ -82,3 +82,12 @@ def test_query(spark):
     ids = assemble(docs, packed, default_path("word_bpe_49k.json"))
     totals = {r["sequence_id"]: r["n"] for r in ids.select("sequence_id", F.size("ids").alias("n")).collect()}
     assert sum(totals.values()) == sum(r["length"] for r in rows) and len(totals) == used
+
+
+def test_parts_follow_the_sequences_with_room(spark):
+    rows = [(i, 0, 0, 300 if i < 1000 else 10, i) for i in range(1020)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    packed = pack_pieces(pieces, 512, part_pieces=100).collect()
+    assert len(packed) == 1020 and check(packed, 512) == 1000
+    # Ten parts, each of which fills a sequence of its own first.
+    assert len({r["sequence_id"] for r in packed if r["length"] == 10}) == 10

@@ -223,9 +223,10 @@ def pack_pieces(
     n_taken = n_patterned + n_full
     seated = store(seated.select(*names, "sequence_id"), "seated-pieces")
     n_small = sums["all"] - sums["large"]
-    parts = max(1, -(-n_small // part_pieces))
-
     rooms = seated.groupBy("sequence_id").agg((F.lit(capacity) - F.sum("length")).alias("room"))
+    # A part holds a share of the small pieces and of the sequences with room: neither may outgrow it.
+    n_rooms = rooms.where("room > 0").count()
+    parts = max(1, -(-max(n_small, n_rooms) // part_pieces))
     kept = [F.lit(None).cast(pieces.schema[c].dataType).alias(c) for c in pieces.columns]
     bins = rooms.where("room > 0").select(
         *kept, F.lit(None).cast("long").alias("_rank"), "sequence_id", "room", F.pmod(F.xxhash64("sequence_id"), F.lit(parts)).alias("_part")
