@@ -212,3 +212,9 @@ def test_fixity_of_records_lost_added_and_lengthened_in_the_middle(spark):
     # A replica filed by itself has other boundaries, yet each record is known by its id.
     less = fixity.tree(fixity.holding(fixity.records(frame.where("page_id <> 5"), 100, html=F.col("html")), "html"))
     assert [r["page_id"] for r in fixity.audit(sound, less).where("kind <> 'moved'").collect()] == [5]
+
+
+def test_first_rows_of_shards_of_very_many_rows(spark):
+    for n in (10, 100_000_000, 2_147_483_647, 10**12):
+        shards = spark.range(24).select(F.col("id").cast("int").alias("shard"))
+        assert [r[0] for r in shards.select(hilbert._first(n, 24)).collect()] == [-(-k * n // 24) for k in range(24)]

@@ -94,8 +94,12 @@ def shard_rows(df: DataFrame, dimensions: Sequence[str], order: Sequence[str], s
     placed = global_positions(with_curve(df, dimensions, bits), ["curve", *order], "_position")
     n = placed.agg(F.count(F.lit(1))).first()[0]
     shard = F.expr(f"_position * {shards} div {max(1, n)}").cast("int")
-    first = F.expr(f"(shard * {n} + {shards - 1}) div {shards}")
-    return placed.withColumn("shard", shard).withColumn("slot", F.col("_position") - first).drop("_position")
+    return placed.withColumn("shard", shard).withColumn("slot", F.col("_position") - _first(n, shards)).drop("_position")
+
+
+def _first(n: int, shards: int) -> Column:
+    """The position of the first of n rows in the column ``shard``; the product is beyond an int for many rows."""
+    return F.expr(f"(cast(shard AS bigint) * {n} + {shards - 1}) div {shards}")
 
 
 def shard_ranges(sharded: DataFrame, dimensions: Sequence[str]) -> DataFrame:
