@@ -81,3 +81,18 @@ def test_query_against_the_plain_form(spark):
                     expected.add((doc["doc_id"], item_id, covered))
     found = op10_greedy_tiling_decontamination(spark, folder).collect()
     assert {(r["doc_id"], r["item_id"], r["covered_words"]) for r in found} == expected and expected
+
+
+def test_repeated_items_and_bounded_blocks(spark, monkeypatch):
+    import tripledger.llm.decontamination as module
+
+    monkeypatch.setattr(module, "BLOCK_ITEMS", 3)
+    monkeypatch.setattr(module, "BLOCK_CHARS", 150)
+    made, items = [], module.Items
+    monkeypatch.setattr(module, "Items", lambda block, least: made.append(block) or items(block, least))
+    docs = spark.createDataFrame([(1, ITEM), (2, "tiny"), (2, "tiny")], "doc_id long, text string")
+    rows = [(1, ITEM)] * 40 + [(None, "tiny")] * 2 + [(2, ITEM)] + [(i, f"other {i}") for i in range(10, 15)] + [(3, "y" * 400)]
+    found = tiled_items_of(docs, spark.createDataFrame(rows, "item_id long, text string"))
+    assert sorted(((r["doc_id"], r["item_id"]) for r in found.collect()), key=str) == sorted([(1, 1)] * 40 + [(1, 2)] + [(2, None)] * 4, key=str)
+    assert sorted((x for block in made for x in block), key=str) == sorted(set(rows), key=str)
+    assert all(len(block) <= 3 and (len(block) == 1 or sum(len(text) for _, text in block) <= 150) for block in made)

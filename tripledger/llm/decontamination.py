@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.llm.shingles import mix
-from tripledger.llm.tables import landed, table, with_locator
+from tripledger.llm.tables import landed, store, table, with_locator
 
 # Words of a seed and of the shortest tile.
 MIN_MATCH = 5
@@ -100,6 +100,7 @@ class Items:
     def __init__(self, items: list[tuple[int | None, str | None]], min_match: int):
         self.min_match = min_match
         self.ids = [item_id for item_id, _ in items]
+        self.texts = [text for _, text in items]
         self.words = [words_of(text) for _, text in items]
         self.seeds: dict[tuple, set[int]] = defaultdict(set)
         for k, words in enumerate(self.words):
@@ -124,14 +125,29 @@ class Items:
         return found
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | None]]]:
-    """The benchmark in blocks of bounded size; each goes through the driver alone."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+def _blocks(items: DataFrame) -> Iterator[list[tuple[int | None, str | None]]]:
+    """The items in blocks of at most BLOCK_ITEMS and BLOCK_CHARS, or one longer item; at least one block.
+
+    Each goes through the driver alone: rows are read part by part and cut as they come.
+    """
+    block, chars = [], 0
+    for row in items.toLocalIterator():
+        size = len(row["text"] or "")
+        if block and (len(block) == BLOCK_ITEMS or chars + size > BLOCK_CHARS):
+            yield block
+            block, chars = [], 0
+        block.append((row["item_id"], row["text"]))
+        chars += size
+    yield block
+
+
+def _distinct(benchmark: DataFrame) -> DataFrame:
+    """(item_id, text, times): rows of the benchmark and how often each is there, stored in parts of about half a block."""
+    named = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text")
+    items = store(named.groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("times")), "items")
     total = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).first()
-    n = max(1, -(-total["n"] // (BLOCK_ITEMS // 2)), -(-(total["chars"] or 0) // (BLOCK_CHARS // 2)))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    for k in range(n):
-        yield [(row["item_id"], row["text"]) for row in items.where(part == k).collect()]
+    parts = max(1, -(-total["n"] // (BLOCK_ITEMS // 2)), -(-(total["chars"] or 0) // (BLOCK_CHARS // 2)))
+    return items if parts == 1 else store(items.repartition(parts), "items")
 
 
 def tiled_items(
@@ -148,17 +164,21 @@ def tiled_items(
         "doc_id long, _file string, _row long, item_id long, item_words int, covered_words int, "
         "n_tiles int, longest int, coverage double"
     )
-    found = None
-    for block in _blocks(benchmark):
-        part = located.mapInArrow(_tiler(Items(block, min_match), coverage), schema)
+    items, found = _distinct(benchmark), None
+    for block in _blocks(items.select("item_id", "text")):
+        # Stored before the next block is made, so that one block at a time is held.
+        part = store(located.mapInArrow(_tiler(Items(block, min_match), coverage), f"{schema}, text string"), "tiled")
         found = part if found is None else found.unionAll(part)
-    return found
+    repeated = items.where("times > 1").select(F.col("item_id").alias("_id"), F.col("text").alias("_text"), "times")
+    same = F.col("item_id").eqNullSafe(F.col("_id")) & (F.col("text") == F.col("_text"))
+    counted = found.join(repeated, same, "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.coalesce("times", F.lit(1)).cast("int"))))
+    return counted.drop("text", "_id", "_text", "times", "_copy")
 
 
 def _tiler(items: Items, coverage: float):
     fields = [
         ("item_id", pa.int64()), ("item_words", pa.int32()), ("covered_words", pa.int32()),
-        ("n_tiles", pa.int32()), ("longest", pa.int32()), ("coverage", pa.float64()),
+        ("n_tiles", pa.int32()), ("longest", pa.int32()), ("coverage", pa.float64()), ("text", pa.string()),
     ]
 
     def tile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,7 +193,7 @@ def _tiler(items: Items, coverage: float):
                     if covered >= coverage * len(own):
                         source.append(at)
                         longest = max(n for _, _, n in tiles)
-                        rows.append((items.ids[k], len(own), covered, len(tiles), longest, covered / len(own)))
+                        rows.append((items.ids[k], len(own), covered, len(tiles), longest, covered / len(own), items.texts[k]))
             kept = batch.select(["doc_id", "_file", "_row"]).take(pa.array(source, pa.int64()))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * len(fields)
             made = [pa.array(values, kind) for values, (_, kind) in zip(columns, fields, strict=True)]
