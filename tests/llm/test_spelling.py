@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from tripledger.llm.spelling import neighbours, variants, word_counts
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(a) + 1 == len(b) and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain_pairs(words):
+    words = sorted(words)
+    return {(a, b) for i, a in enumerate(words) for b in words[i + 1 :] if abs(len(a) - len(b)) < 2 and one_edit(a, b)}
+
+
+def plain_counts(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 7:
+                counts[run] += 1
+    return {word: n for word, n in counts.items() if n > 1}
+
+
+def plain_variants(counts):
+    near = {word: [] for word in counts}
+    for a, b in plain_pairs(counts):
+        near[a].append(b)
+        near[b].append(a)
+    form = {}
+    for word, others in near.items():
+        best = min(others, key=lambda w: (-counts[w], w), default=None)
+        form[word] = best if best and counts[best] >= 10 * counts[word] else None
+    rows = set()
+    for word, n in counts.items():
+        root = word
+        while form[root]:
+            root = form[root]
+        rows.add((word, form[word], root, n, len(near[word]), counts.get(form[word])))
+    return rows
+
+
+def frame(spark, words):
+    return spark.createDataFrame([(w,) for w in words], "word string")
+
+
+@pytest.mark.parametrize(("letters", "low", "high", "start"), [("ab", 1, 6, 1), ("abé", 3, 9, 3), ("aÿ", 7, 12, 7)])
+def test_neighbours_against_all_pairs(spark, letters, low, high, start):
+    draw = random.Random(len(letters) + low)
+    words = {"".join(draw.choice(letters) for _ in range(draw.randint(low, high))) for _ in range(350)}
+    found = [(r["a"], r["b"]) for r in neighbours(frame(spark, words), start).collect()]
+    assert len(found) == len(set(found)) and set(found) == plain_pairs(words)
+
+
+def test_long_and_odd_words(spark):
+    long = "".join(random.Random(1).choice("abcdefgh") for _ in range(20_000))
+    words = [long, long[:-1], long[:9_000] + "z" + long[9_001:], long + "q", "a" * 60, "a" * 61, "a" * 63, "b", "c", None, ""]
+    found = {(r["a"], r["b"]) for r in neighbours(frame(spark, words)).collect()}
+    assert found == plain_pairs([w for w in words if w])
+    assert neighbours(frame(spark, words).limit(0)).count() == 0
+
+
+def test_forms_lead_to_roots(spark):
+    counts = {"abcdefg": 1000, "abcdefgh": 50, "abcdefghi": 5, "abcdefh": 100, "abcdefi": 101, "zzzzzzzz": 3, "abcdxfg": 1000, "abcdyfg": 4}
+    found = variants(spark.createDataFrame(list(counts.items()), "word string, n long"))
+    assert {tuple(r) for r in found.collect()} == plain_variants(counts)
+
+
+def test_documents(spark, documents):
+    draw = random.Random(5)
+    stems = ["".join(draw.choice("aeinrsté") for _ in range(draw.randint(7, 9))) for _ in range(60)]
+    rows = [(i if i % 9 else None, " ".join(draw.choice(stems).title() for _ in range(200)) + "-x9" + draw.choice(stems)) for i in range(80)]
+    rows += [(r["doc_id"], r["text"]) for r in documents.collect()]
+    docs = spark.createDataFrame([(*row, 1, "x", "y") for row in rows], "doc_id long, text string, word long, `a.b` string, n string")
+    counts = plain_counts(rows)
+    assert {r["word"]: r["n"] for r in word_counts(docs).collect()} == counts
+    found = variants(word_counts(docs)).collect()
+    assert len(found) == len(counts) and {tuple(r) for r in found} == plain_variants(counts)
+    assert any(r["form"] for r in found) and variants(word_counts(docs.limit(0))).count() == 0

@@ -24,6 +24,7 @@ OPERATORS = {
     "op8_setsketch_near_dedup": "near_dedup",
     "op9_merkle_fixity": "fixity",
     "op10_greedy_tiling_decontamination": "decontamination",
+    "op11_spelling_variants": "spelling",
 }
 
 _shipped: set[str] = set()
