@@ -25,6 +25,7 @@ OPERATORS = {
     "op9_merkle_fixity": "fixity",
     "op10_greedy_tiling_decontamination": "decontamination",
     "op11_spelling_variants": "spelling",
+    "op12_signature_tree_join": "signature_tree",
 }
 
 _shipped: set[str] = set()
