@@ -17,7 +17,6 @@ VOCABULARIES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 
 def plain_ids(path, text):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return tokenizer.encode(text or "", add_special_tokens=False).ids
 
 

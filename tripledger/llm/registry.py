@@ -26,6 +26,7 @@ OPERATORS = {
     "op10_greedy_tiling_decontamination": "decontamination",
     "op11_spelling_variants": "spelling",
     "op12_signature_tree_join": "signature_tree",
+    "op13_pointer_jumping_alignment": "alignment",
 }
 
 _shipped: set[str] = set()

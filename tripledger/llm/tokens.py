@@ -37,16 +37,20 @@ def default_path(name: str) -> str:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes; null counts as empty.
 
-    Strings of special tokens inside a text are ordinary text: a document can't forge a control id.
+    Strings of special tokens inside a text give their ids, as the tokenizer has it, or are ordinary text
+    with ``special_as_text``: then a document can't forge a control id.
     """
 
-    def __init__(self, path: str, kept_words: int = KEPT_WORDS):
+    def __init__(self, path: str, kept_words: int = KEPT_WORDS, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
             rules = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        # A text with a special token's string is encoded whole, whatever its case and the token's flags.
+        special = [] if special_as_text else [re.escape(t["content"]) for t in rules.get("added_tokens", [])]
+        self.special = re.compile("|".join(special), re.IGNORECASE) if special else None
         self.kept_words = kept_words
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
@@ -67,6 +71,10 @@ class Encoder:
             return [ids for i in range(0, len(filled), TOGETHER) for ids in self(filled[i : i + TOGETHER])]
         if self.kind == "whole":
             return self._encode(filled)
+        if self.special and (odd := [i for i, text in enumerate(filled) if self.special.search(text)]):
+            marked = dict(zip(odd, self._encode([filled[i] for i in odd]), strict=True))
+            plain = iter(self([text for i, text in enumerate(filled) if i not in marked]))
+            return [marked[i] if i in marked else next(plain) for i in range(len(filled))]
         if self.kind == "words":
             return self._join([(text.replace("\n", " ").split(" "), False) for text in filled], self.later, "")
         return self._join([(text.split(" "), True) for text in filled], self.later, " ")
@@ -159,14 +167,15 @@ def _kind(rules: dict) -> str:
     return "whole"
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_as_text: bool = False) -> Encoder:
     """The worker's encoder for a vocabulary file, made once."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    key = (path, special_as_text)
+    if key not in _encoders:
+        _encoders[key] = Encoder(path, special_as_text=special_as_text)
+    return _encoders[key]
 
 
 def crc32(ids: bytes) -> int:
