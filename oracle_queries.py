@@ -335,6 +335,16 @@ ORACLE: dict[str, str] = {
     "clean_sparse_any": f"""
         WITH {SPARSE} SELECT DISTINCT * FROM sparse WHERE order_key IS NOT NULL AND line_number IS NOT NULL""",
     "null_rows": f"WITH {SPARSE} SELECT * FROM sparse WHERE line_number IS NULL",
+    "odd_totals": """
+        SELECT l_linenumber, l_returnflag, printf('%.9e', sum(CASE
+            WHEN l_linenumber = 1 THEN l_extendedprice
+            WHEN l_linenumber = 2 THEN l_extendedprice / 7
+            WHEN l_linenumber = 3 THEN l_extendedprice * 1e9
+            WHEN l_linenumber = 4 THEN l_extendedprice * 1e-9
+            WHEN l_linenumber = 5 THEN CASE WHEN l_orderkey % 50 = 0 THEN 'nan'::DOUBLE ELSE l_extendedprice END
+            WHEN l_linenumber = 6 THEN CASE WHEN l_orderkey % 50 = 0 THEN 'inf'::DOUBLE ELSE l_extendedprice END
+            WHEN l_orderkey % 50 = 0 THEN l_extendedprice END))::DOUBLE AS amount
+        FROM lineitem GROUP BY 1, 2""",
     "payment_type_counts": _on_fare("SELECT payment_type, count(*) AS count FROM fare GROUP BY payment_type"),
     "sparse_counts": f"WITH {SPARSE} SELECT line_number, count(*) AS count FROM sparse GROUP BY line_number",
     "fare_profile": _on_fare(_profile("fare", FARE_KINDS)),

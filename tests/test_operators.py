@@ -12,7 +12,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from samples import comparable, fare_frame, fare_rows, rows_of, trip_frame, trip_rows
 
-from tripledger.functions import day_type, exact_sum, in_days, weekday_name, weekday_number
+from tripledger.functions import day_type, exact_sum, in_days, total, weekday_name, weekday_number
 from tripledger.operators import extremes
 from tripledger.operators.cleaning import clean, strip_column_names
 from tripledger.operators.concurrency import peak_concurrency
@@ -115,6 +115,37 @@ def test_exact_amounts_are_never_rounded_or_lost_unseen(spark):
     assert spark.createDataFrame([(0.00000012,)], "x double").agg(exact_sum("x", 8).alias("s")).first()["s"] == Decimal("0.00000012")
 
 
+def test_totals_of_any_doubles(spark):
+    odd = [float("nan"), 1.2345678, 1e10, 1e-9, 0.1, 0.2, -0.3, 1e300, -1e300, 12345678901234.5, None]
+    groups = {
+        "money": [0.1, 0.2, -3.0, None],
+        "fractions": [1.2345678, 1e10, 1e-9, 0.1, 1 / 3, -1e10, 5e15, -5e15],
+        "nan": odd,
+        "infinite": [float("inf"), 1.0, 1e-30],
+        "both": [float("inf"), float("-inf")],
+        "none": [None, None],
+        "huge": [1e300, 1e300],
+        "binary": [0.1] * 1000 + [1e-7] * 1000,
+    }
+    rows = [(g, x) for g, values in groups.items() for x in values]
+    answers = []
+    for parts in (1, 2, 4, 7):
+        frame = spark.createDataFrame(random.Random(parts).sample(rows, len(rows)), "g string, x double").repartition(parts)
+        answers.append({r["g"]: repr(r["s"]) for r in frame.groupBy("g").agg(total("x").alias("s")).collect()})
+    assert all(a == answers[0] for a in answers)
+    found = {g: eval(s, {"nan": math.nan, "inf": math.inf}) for g, s in answers[0].items()}
+    assert found["money"] == -2.7 and found["none"] is None and found["infinite"] == math.inf and found["huge"] == 2e300
+    assert math.isnan(found["nan"]) and math.isnan(found["both"])
+    assert math.isclose(found["fractions"], math.fsum(groups["fractions"]), rel_tol=1e-15)
+    assert math.isclose(found["binary"], 100.0001, rel_tol=1e-15)
+
+
+def test_means_of_odd_values_compare_as_doubles(spark):
+    rows = [("a", 0.1, 3), ("b", 1.23456789, 1), ("b", 1.0, 1), ("c", math.nan, 1), ("c", 5.0, 2), ("d", 0.1, 1), ("d", 0.2, 1), ("d", 0.3, 1)]
+    df = spark.createDataFrame(rows, "g string, v double, w long")
+    assert sorted(rows_of(above_group_mean(df, "g", "v", "w", "n"))) == [("b", 1), ("d", 1)]
+
+
 @pytest.mark.parametrize("rows", [0, 1, 4, 5, 1000])
 def test_exact_quartiles(spark, rows):
     rng = random.Random(rows)

@@ -39,6 +39,50 @@ def exact_sum(amount: Column | str, scale: int = SCALE) -> Column:
     return F.sum(_units(amount, scale)) * F.lit(Decimal(1).scaleb(-scale))
 
 
+# Halves of a whole number of units that sums keep apart: neither overflows below 2^36 rows.
+_HALF = 26
+# Below these sizes a cell that is no whole number of units is added as a decimal, of 18 or 4 digits after the point.
+_SMALL, _LARGE = 1e12, 1e24
+
+
+def whole_units(amount: Column | str, scale: int = SCALE) -> Column:
+    """The amount in whole units of 10^-scale as a long; null where it has none, NaN and infinities included."""
+    column = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
+    scaled = column * float(10**scale)
+    whole = F.rint(scaled)
+    # A few last places of a double, as a product of amounts may be off.
+    noise = F.abs(scaled) * 2.0**-49
+    return F.when((F.abs(whole) < float(1 << 53)) & (F.abs(whole - scaled) <= noise), whole.cast("long"))
+
+
+def total(amount: Column | str, scale: int = SCALE) -> Column:
+    """The sum of any doubles, as a double that doesn't depend on the order of the rows; null without a number.
+
+    Cells that are whole units of 10^-scale, as money is, are added as whole numbers, in two halves. Others
+    are added as decimals in two bins by size, rounded beyond the 18th digit after the point (the 4th from
+    10^12 on). NaN, infinities and cells from 10^24 on are added as doubles: NaN and infinities come out as
+    such, and only those huge cells are rounded by order.
+    """
+    column = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
+    units = whole_units(column, scale)
+    odd, size = units.isNull() & column.isNotNull(), F.abs(column)
+    high, low = F.sum(F.shiftright(units, _HALF)), F.sum(units.bitwiseAND(F.lit((1 << _HALF) - 1)))
+    others = [
+        F.sum(F.when(odd & (size < _SMALL), column.cast("decimal(38,18)"))),
+        F.sum(F.when(odd & (size >= _SMALL) & (size < _LARGE), column.cast("decimal(38,4)"))),
+        F.sum(F.when(odd & ~(size < _LARGE), column)),
+    ]
+    whole = (high.cast("decimal(28,0)") * F.lit(Decimal(1 << _HALF)) + low.cast("decimal(28,0)")) * F.lit(Decimal(1).scaleb(-scale))
+    zero = F.lit(0.0)
+    summed = F.coalesce(whole.cast("double"), zero)
+    for other in others:
+        summed = summed + F.coalesce(other.cast("double"), zero)
+    known = high.isNotNull()
+    for other in others:
+        known = known | other.isNotNull()
+    return F.when(known, summed)
+
+
 def weight(rows: Column | str) -> Column:
     """A row count as a factor whose products overflow with an error at 38 digits, not at 19."""
     return (F.col(rows) if isinstance(rows, str) else rows).cast("decimal(38,0)")

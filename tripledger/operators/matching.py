@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripledger.functions import total
 from tripledger.schema import RIDE_KEYS
 
 
@@ -48,4 +49,4 @@ def join_folded(fare: DataFrame, trip: DataFrame, keys: Sequence[str] = RIDE_KEY
 
 def ratio_of_sums(df: DataFrame, by: Sequence[str], part: Column, whole: Column, name: str) -> DataFrame:
     """sum(part) / sum(whole) per group; null where the divisor is 0."""
-    return df.groupBy(*by).agg(F.try_divide(F.sum(part).cast("double"), F.sum(whole).cast("double")).alias(name))
+    return df.groupBy(*by).agg(F.try_divide(total(part), total(whole)).alias(name))

@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.functions import exact_sum, ratio
+from tripledger.functions import ratio, total
 from tripledger.sources.scratch import store
 
 
@@ -26,7 +26,7 @@ def same_group(keys: Sequence[str], other: Mapping[str, str]) -> Column:
 
 
 def attach_group_total(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Each row with the exact total of ``value`` over its group, as double; null keys form groups too.
+    """Each row with the total of ``value`` over its group, as double; null keys form groups too.
 
     For keys with few groups. The totals are stored in the shared scratch folder by one job, run when
     the frame is made (see ``scratch_owner`` for their lifetime). Spark thus knows their size when it
@@ -34,17 +34,17 @@ def attach_group_total(df: DataFrame, keys: Sequence[str], value: str, name: str
     threshold both sides are shuffled, and large groups split at run time.
     """
     own = {key: f"_total_{key}" for key in keys}
-    totals = df.groupBy(*keys).agg(exact_sum(value).cast("double").alias(name)).withColumnsRenamed(own)
+    totals = df.groupBy(*keys).agg(total(value).alias(name)).withColumnsRenamed(own)
     return df.join(store(totals, "totals"), same_group(keys, own), "left").drop(*own.values())
 
 
 def attach_group_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, str]) -> DataFrame:
-    """Add ``{new column: summed column}`` exact totals over the row's group; null keys form groups too.
+    """Add ``{new column: summed column}`` totals over the row's group; null keys form groups too.
 
     One way for groups of any number and size: see the module's description.
     """
     own = {key: f"_group_{key}" for key in keys}
-    totals = df.groupBy(*keys).agg(*[exact_sum(column).alias(name) for name, column in sums.items()])
+    totals = df.groupBy(*keys).agg(*[total(column).alias(name) for name, column in sums.items()])
     return df.join(totals.withColumnsRenamed(own), same_group(keys, own), "left").drop(*own.values())
 
 
@@ -53,5 +53,5 @@ def attach_group_ratio(
 ) -> DataFrame:
     """Each row with scale · sum(part) / sum(whole) over its group; null where the divisor is 0."""
     summed = attach_group_sums(df, keys, {"_part": part, "_whole": whole})
-    share = ratio(F.col("_part").cast("double"), F.col("_whole").cast("double"))
+    share = ratio("_part", "_whole")
     return summed.withColumn(name, share * F.lit(scale)).drop("_part", "_whole")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.functions import day_type, exact_sum, money_text, weekday_name, weekday_number
+from tripledger.functions import day_type, money_text, total, weekday_name, weekday_number
 from tripledger.functions.calendar import WORKING_DAYS
 from tripledger.operators.extremes import first_per_group, max_per_group, top_rows, top_values_per_group
 from tripledger.operators.grouping import sum_by_day
@@ -26,7 +26,7 @@ def revenue_by_vendor(fare: DataFrame) -> DataFrame:
     return (
         fare.where(F.col("vendor_id").isNotNull())
         .groupBy("vendor_id")
-        .agg(money_text(exact_sum("total_amount").cast("double")).alias("total_revenue"))
+        .agg(money_text(total("total_amount")).alias("total_revenue"))
     )
 
 
@@ -42,7 +42,7 @@ def highest_total_by_vendor(fare: DataFrame) -> DataFrame:
 def _tips_by_weekday(fare: DataFrame) -> DataFrame:
     return (
         fare.groupBy("vendor_id", weekday_number("pickup_datetime").alias("_weekday"))
-        .agg(exact_sum("tip_amount").cast("double").alias("_tips"))
+        .agg(total("tip_amount").alias("_tips"))
         .select(
             "vendor_id",
             weekday_name("_weekday").alias("day_of_week"),
@@ -68,7 +68,7 @@ def mean_fare_by_payment_type(fare: DataFrame) -> DataFrame:
     """Mean fare of each payment type as text, in descending order of that text."""
     return (
         fare.groupBy("payment_type")
-        .agg(money_text(F.try_divide(exact_sum("fare_amount").cast("double"), F.count("fare_amount"))).alias("average_fare_amount"))
+        .agg(money_text(F.try_divide(total("fare_amount"), F.count("fare_amount"))).alias("average_fare_amount"))
         .orderBy(F.desc("average_fare_amount"))
     )
 
@@ -102,9 +102,8 @@ def earnings_by_day(fare: DataFrame, first: dt.date = FIRST_DAY, last: dt.date =
 
 def top_vendor_by_payment_type(fare: DataFrame) -> DataFrame:
     """The vendor(s) with the largest revenue, per payment type."""
-    revenue = fare.groupBy("payment_type", "vendor_id").agg(exact_sum("total_amount").alias("sum_total_amount"))
-    best = max_per_group(revenue, ["payment_type"], "sum_total_amount")
-    return best.withColumn("sum_total_amount", F.col("sum_total_amount").cast("double"))
+    revenue = fare.groupBy("payment_type", "vendor_id").agg(total("total_amount").alias("sum_total_amount"))
+    return max_per_group(revenue, ["payment_type"], "sum_total_amount")
 
 
 def most_popular_payment_type(fare: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.functions import day_string, exact_sum, money_text, weight
+from tripledger.functions import day_string, money_text, total, weight
 from tripledger.operators.extremes import max_per_group, ranked_in_group, top_rows
 from tripledger.operators.grouping import above_group_mean
 from tripledger.operators.matching import fold, join_folded, ratio_of_sums
@@ -26,12 +26,12 @@ def ride_totals(fare: DataFrame, trip: DataFrame) -> DataFrame:
     the sums of one side. Three questions need only these columns, so when more than one of them is
     asked, store this table once and pass it to them.
     """
-    fares = fold(fare, RIDE_KEYS, "fares", exact_sum("tip_amount").alias("tips"), exact_sum("fare_amount").alias("amount"))
+    fares = fold(fare, RIDE_KEYS, "fares", total("tip_amount").alias("tips"), total("fare_amount").alias("amount"))
     trips = fold(
         trip,
         [*RIDE_KEYS, "rate_code", F.to_date("dropoff_datetime").alias("day")],
         "trips",
-        exact_sum("trip_time_in_secs").alias("seconds"),
+        total("trip_time_in_secs").alias("seconds"),
     )
     return join_folded(fares, trips)
 
@@ -61,21 +61,21 @@ def trips_above_mean_tip(fare: DataFrame, trip: DataFrame) -> DataFrame:
 
 def _driver_totals(fare: DataFrame, trip: DataFrame) -> DataFrame:
     """Mean distance and tip total per (vendor of the trip, driver), as numbers and as text."""
-    fares = fold(fare, DRIVER_PICKUP, "_fares", exact_sum("tip_amount").alias("_tips"))
+    fares = fold(fare, DRIVER_PICKUP, "_fares", total("tip_amount").alias("_tips"))
     trips = fold(
         trip,
         [*DRIVER_PICKUP, "vendor_id"],
         "_trips",
-        exact_sum("trip_distance").alias("_distance"),
+        total("trip_distance").alias("_distance"),
         F.count("trip_distance").alias("_measured"),
     )
     return (
         join_folded(fares, trips, DRIVER_PICKUP)
         .groupBy(F.col("vendor_id").alias("vendor"), "hack_license")
         .agg(
-            F.sum(F.col("_distance") * weight("_fares")).cast("double").alias("_distance"),
+            total(F.col("_distance") * F.col("_fares")).alias("_distance"),
             F.sum(weight("_measured") * weight("_fares")).cast("double").alias("_measured"),
-            F.sum(F.col("_tips") * weight("_trips")).cast("double").alias("_tips"),
+            total(F.col("_tips") * F.col("_trips")).alias("_tips"),
         )
         .withColumn("_mileage", F.try_divide("_distance", "_measured"))
         .select(
@@ -104,28 +104,28 @@ def top_drivers_by_vendor_numeric(fare: DataFrame, trip: DataFrame, k: int = 10)
 def driver_of_each_day(fare: DataFrame, trip: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """The driver(s) with the largest tip total of each day on which trips ended."""
     if totals is None:
-        fares = fold(fare, RIDE_KEYS, "fares", exact_sum("tip_amount").alias("tips"))
+        fares = fold(fare, RIDE_KEYS, "fares", total("tip_amount").alias("tips"))
         trips = fold(trip, [*RIDE_KEYS, F.to_date("dropoff_datetime").alias("day")], "trips")
         totals = join_folded(fares, trips)
     tips = totals.groupBy("day", "hack_license", "vendor_id").agg(
-        F.sum(F.col("tips") * weight("trips")).alias("tips_sum")
+        total(F.col("tips") * F.col("trips")).alias("tips_sum")
     )
     return max_per_group(tips, ["day"], "tips_sum").select(
-        day_string("day").alias("date"), "hack_license", "vendor_id", F.col("tips_sum").cast("double").alias("tips_sum")
+        day_string("day").alias("date"), "hack_license", "vendor_id", "tips_sum"
     )
 
 
 def fare_per_second_by_vendor(fare: DataFrame, trip: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Fares divided by seconds driven, per vendor; null for a vendor without driving time."""
     if totals is None:
-        fares = fold(fare, RIDE_KEYS, "fares", exact_sum("fare_amount").alias("amount"))
-        trips = fold(trip, RIDE_KEYS, "trips", exact_sum("trip_time_in_secs").alias("seconds"))
+        fares = fold(fare, RIDE_KEYS, "fares", total("fare_amount").alias("amount"))
+        trips = fold(trip, RIDE_KEYS, "trips", total("trip_time_in_secs").alias("seconds"))
         totals = join_folded(fares, trips)
     return ratio_of_sums(
         totals,
         ["vendor_id"],
-        F.col("amount") * weight("trips"),
-        F.col("seconds") * weight("fares"),
+        F.col("amount") * F.col("trips"),
+        F.col("seconds") * F.col("fares"),
         "average_fare_per_second",
     )
 
