@@ -88,7 +88,7 @@ def test_tree_pairs_against_all_pairs(threshold):
     assert len(candidates(sets, None, threshold)) < len(sets) ** 2 / 8
 
 
-@pytest.mark.parametrize("page_sets", [512, 16, 3])
+@pytest.mark.parametrize("page_sets", [1024, 16, 3])
 def test_against_plain_groups(spark, page_sets):
     rows = planted(30, 3)
     common = " ".join(f"all{i}" for i in range(25))

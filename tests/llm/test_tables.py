@@ -1,0 +1,81 @@
+"""Row places on frames that were derived, and columns whose names clash with inner ones."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripledger.llm.decontamination import keep_clean
+from tripledger.llm.exact_dedup import exact_dedup, keep_first
+from tripledger.llm.hilbert import shard_rows
+from tripledger.llm.language import keep_identified
+from tripledger.llm.near_dedup import keep_one
+from tripledger.llm.tables import free_name, landed, scratch_path, store
+
+WORDS = "one two three four five six seven eight nine ten eleven twelve"
+OTHER = "red orange yellow green blue indigo violet black white grey brown pink"
+THIRD = "north east south west up down left right inside outside above below"
+
+
+def stored(spark, rows, columns="doc_id long, text string"):
+    return store(spark.createDataFrame(rows, columns), "test-docs")
+
+
+def derived(spark):
+    """The same documents in four ways that repeat or change rows of files: -10 and its copy -20, and two clean ones."""
+    base = stored(spark, [(-20, WORDS)])
+    three = F.array(*[F.struct(F.lit(i).cast("long").alias("doc_id"), F.lit(t).alias("text")) for i, t in ((-10, WORDS), (-9, OTHER), (-8, THIRD))])
+    exploded = stored(spark, [(0, "")]).select(F.explode(three).alias("x")).select("x.*")
+    one = stored(spark, [(1, "x")])
+    keys = stored(spark, [(1, i, t) for i, t in ((-10, WORDS), (-9, OTHER), (-8, THIRD), (-20, WORDS))], "k long, doc_id long, text string")
+    joined = one.withColumnRenamed("doc_id", "k").drop("text").join(keys, "k").drop("k")
+    upper = stored(spark, [(-10, WORDS.upper()), (-9, OTHER), (-8, THIRD), (-20, WORDS)]).withColumn("text", F.lower("text"))
+    path = scratch_path(spark, "twice")
+    spark.createDataFrame([(-10, WORDS), (-9, OTHER), (-8, THIRD)], "doc_id long, text string").write.parquet(path)
+    return {"explode": exploded.unionByName(base), "join": joined, "text": upper, "union": spark.read.parquet(path).unionAll(base)}
+
+
+def ids(frame):
+    return sorted(r["doc_id"] for r in frame.select("doc_id").collect())
+
+
+@pytest.mark.parametrize("how", ["explode", "join", "text", "union"])
+def test_derived_frames_lose_and_keep_the_right_rows(spark, how):
+    docs = derived(spark)[how]
+    item = stored(spark, [(1, OTHER)], "item_id long, text string")
+    assert ids(keep_first(docs)) == ids(keep_one(docs)) == [-20, -9, -8]
+    assert ids(keep_clean(docs, item)) == [-20, -10, -8]
+    assert ids(keep_identified(docs.withColumn("lang", F.lit("en")))) == [-20, -10, -9, -8]
+
+
+def test_only_rows_of_files_as_they_are_keep_their_place(spark):
+    docs = stored(spark, [(1, WORDS), (2, OTHER)])
+    again = docs.sparkSession.read.parquet(*docs.inputFiles(), *docs.inputFiles())
+    narrow = docs.where("doc_id > 0").select("text", F.col("doc_id").alias("n"))
+    assert landed(docs) is docs and landed(narrow) is narrow
+    for frame in (docs.sample(0.9, seed=1), docs.where(F.rand() < 2), docs.withColumn("text", F.upper("text")), docs.limit(1), docs.unionAll(docs), again):
+        assert landed(frame) is not frame
+
+
+def test_a_state_of_other_texts_than_the_files(spark):
+    state = scratch_path(spark, "state")
+    first = stored(spark, [(3, "C c"), (5, "d")]).withColumn("text", F.lower("text"))
+    exact_dedup(first, state).collect()
+    (row,) = exact_dedup(stored(spark, [(9, "cc")]), state).collect()
+    assert (row["keep_id"], row["group_size"], row["kept"]) == (3, 2, False)
+
+
+def test_names_that_clash(spark):
+    names = ["doc_id", "text", "lang", "_file", "_row", "_metadata", "_place", "a.b", "_whole", "curve", "shard", "slot", "_position", "_cells", "_part", "_at", "component"]
+    rows = [tuple([i, t, "en", *([f"x{i}"] * (len(names) - 3))]) for i, t in enumerate([WORDS, WORDS, OTHER, THIRD])]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names[2:])
+    docs = stored(spark, rows, schema)
+    item = stored(spark, [(1, OTHER)], "item_id long, text string")
+    for kept, expected in ((keep_first(docs), [0, 2, 3]), (keep_one(docs), [0, 2, 3]), (keep_clean(docs, item), [0, 1, 3]), (keep_identified(docs), [0, 1, 2, 3])):
+        assert kept.columns == names and ids(kept) == expected
+        assert all(r["a.b"] == r["_file"] == f"x{r['doc_id']}" for r in kept.collect())
+    sharded = shard_rows(docs, ["lang", "a.b"], ["doc_id"], shards=2)
+    assert sharded.columns[: len(names)] == names
+    found = [(r["curve"], r["shard_1"], r["slot_1"]) for r in sharded.collect()]
+    assert sorted((s, k) for _, s, k in found) == [(0, 0), (0, 1), (1, 0), (1, 1)] and all(c.startswith("x") for c, _, _ in found)
+    assert free_name("a", ["A", "a_1"]) == "a_2"

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.llm.shingles import mix
-from tripledger.llm.tables import landed, store, table, with_locator
+from tripledger.llm.tables import landed, rows_at, store, table, with_locator
 
 # Words of a seed and of the shortest tile.
 MIN_MATCH = 5
@@ -203,10 +203,9 @@ def _tiler(items: Items, coverage: float):
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item, all their columns."""
-    docs, names = landed(docs), docs.columns
-    gone = tiled_items(docs, benchmark).select("_file", "_row").distinct()
-    return with_locator(docs, names).join(gone, ["_file", "_row"], "left_anti").select(*names)
+    """The documents that hold no benchmark item, all their columns, whatever their names. Rows: see tiled_items."""
+    docs = landed(docs)
+    return rows_at(docs, tiled_items(docs, benchmark).select("_file", "_row").distinct(), "left_anti")
 
 
 def op10_greedy_tiling_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

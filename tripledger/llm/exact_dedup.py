@@ -18,7 +18,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripledger.llm.tables import landed, scratch_path, store, table, with_locator
+from tripledger.llm.tables import landed, rows_at, scratch_path, store, table, with_locator
 
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Native memory of all state stores of one executor.
@@ -212,10 +212,9 @@ def exact_dedup(
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents without exact copies, all their columns."""
-    docs, names = landed(docs), docs.columns
-    found = exact_dedup(docs).where("kept").select("_file", "_row")
-    return with_locator(docs, names).join(found, ["_file", "_row"], "left_semi").select(*names)
+    """The documents without exact copies, all their columns, whatever their names. Rows: see exact_dedup."""
+    docs = landed(docs)
+    return rows_at(docs, exact_dedup(docs).where("kept").select("_file", "_row"))
 
 
 ORACLE = {

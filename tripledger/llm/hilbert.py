@@ -14,9 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import LongType, NumericType, StructField, StructType
 
-from tripledger.llm.tables import global_positions, table
+from tripledger.llm.tables import free_name, global_positions, quoted, table
 
 SHARDS = 24
 BITS = 8
@@ -72,34 +72,36 @@ def with_curve(df: DataFrame, dimensions: Sequence[str], bits: int = BITS, name:
     """The rows with their place on the curve through the dimensions."""
     if bits * len(dimensions) > 62:
         raise ValueError("the curve index must fit 62 bits")
-    cells = df.select("*", F.array(*[_cell(df, d, bits).cast("long") for d in dimensions]).alias("_cells"))
-    kept = df.columns
+    # The row travels as one column, whatever the names in it.
+    cells = df.select(F.struct(*map(quoted, df.columns)).alias("row"), F.array(*[_cell(df, d, bits).cast("long") for d in dimensions]).alias("cells"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column("_cells").flatten().to_numpy(zero_copy_only=False)
+            flat = batch.column("cells").flatten().to_numpy(zero_copy_only=False)
             index = hilbert_index(flat.reshape(-1, len(dimensions)), bits)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(index, pa.int64())], [*kept, name])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(index, pa.int64())], ["row", "index"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return cells.mapInArrow(place, f"{fields}, `{name}` long")
+    placed = cells.mapInArrow(place, StructType([StructField("row", df.schema), StructField("index", LongType())]))
+    return placed.select("row.*", F.col("index").alias(name))
 
 
 def shard_rows(df: DataFrame, dimensions: Sequence[str], order: Sequence[str], shards: int = SHARDS, bits: int = BITS) -> DataFrame:
     """The rows with ``curve``, ``shard`` and ``slot``: runs of the curve whose counts are at most one apart.
 
-    ``order`` breaks ties of the curve; null values have a cell of their own. Rows that are equal in all
+    Columns of the rows keep their names and values: one of these three that they have already is named
+    ``curve_1`` and so on. ``order`` breaks ties of the curve; null values have a cell of their own. Rows that are equal in all
     of these are interchangeable. Fewer rows than shards leave shards empty. Keep ``df`` narrow.
     """
-    placed = global_positions(with_curve(df, dimensions, bits), ["curve", *order], "_position")
+    curve, shard, slot, position = (free_name(name, df.columns) for name in ("curve", "shard", "slot", "_position"))
+    placed = global_positions(with_curve(df, dimensions, bits, curve), [curve, *map(quoted, order)], position)
     n = placed.agg(F.count(F.lit(1))).first()[0]
-    shard = F.expr(f"_position * {shards} div {max(1, n)}").cast("int")
-    return placed.withColumn("shard", shard).withColumn("slot", F.col("_position") - _first(n, shards)).drop("_position")
+    own = F.expr(f"{position} * {shards} div {max(1, n)}").cast("int")
+    return placed.withColumn(shard, own).withColumn(slot, F.col(position) - _first(n, shards, shard)).drop(position)
 
 
-def _first(n: int, shards: int) -> Column:
+def _first(n: int, shards: int, shard: str = "shard") -> Column:
     """The position of the first of n rows in the column ``shard``; the product is beyond an int for many rows."""
-    return F.expr(f"(cast(shard AS bigint) * {n} + {shards - 1}) div {shards}")
+    return F.expr(f"(cast({shard} AS bigint) * {n} + {shards - 1}) div {shards}")
 
 
 def shard_ranges(sharded: DataFrame, dimensions: Sequence[str]) -> DataFrame:

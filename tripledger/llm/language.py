@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripledger.llm.tables import landed, table, with_locator
+from tripledger.llm.tables import landed, rows_at, table, with_locator
 
 ORDER = 3
 # Labelled texts to learn from and landmarks among them: at most so many of each language.
@@ -177,12 +177,12 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The documents with a language, all their columns; where none can be learned, those with a letter."""
-    docs, names = landed(docs), docs.columns
+    docs = landed(docs)
     model = train(docs)
     if model is None:
         return docs.where(F.col("text").rlike(_LETTER))
     known = identify(docs, model).where(F.col("lang_pred") != UNKNOWN).select("_file", "_row")
-    return with_locator(docs, names).join(known, ["_file", "_row"], "left_semi").select(*names)
+    return rows_at(docs, known)
 
 
 def op7_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tripledger.llm.components import connected_components
 from tripledger.llm.shingles import WORDS, shingle_sets
-from tripledger.llm.tables import landed, store, table, with_locator
+from tripledger.llm.tables import landed, rows_at, store, table, with_locator
 
 # 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
@@ -258,10 +258,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, block: int = BL
 
 
 def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The kept documents, all their columns."""
-    docs, names = landed(docs), docs.columns
-    gone = near_duplicates(docs, threshold).where("not kept").select("_file", "_row")
-    return with_locator(docs, names).join(gone, ["_file", "_row"], "left_anti").select(*names)
+    """The kept documents, all their columns, whatever their names. Rows: see near_duplicates."""
+    docs = landed(docs)
+    return rows_at(docs, near_duplicates(docs, threshold).where("not kept").select("_file", "_row"), "left_anti")
 
 
 def op8_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tripledger.llm.components import connected_components
 from tripledger.llm.shingles import shingle_sets
-from tripledger.llm.tables import global_positions, landed, store, table, with_locator
+from tripledger.llm.tables import global_positions, joined_at, landed, store, table, with_locator
 
 # Words of a shingle; 100 * intersection >= THRESHOLD * union.
 WORDS, THRESHOLD = 4, 85
@@ -34,7 +34,7 @@ BITS = 32_768
 # The order of shingles begins with those of small hashes, this share of all, rarest first; then the others.
 POOL = 0.25
 # Sets and shingles of a page; a task holds two. Children of a node, above the pages and within them.
-PAGE_SETS, PAGE_SHINGLES = 512, 1 << 20
+PAGE_SETS, PAGE_SHINGLES = 1024, 1 << 20
 FANOUT_BITS, TREE_FANOUT = 4, 8
 
 
@@ -110,8 +110,8 @@ def _trees(sets: DataFrame, threshold: int) -> DataFrame:
     return connected_components(edges).select(F.col("node").alias("s"), F.col("component").alias("tree"))
 
 
-def _paged(sets: DataFrame, trees: DataFrame, threshold: int, page_sets: int) -> DataFrame:
-    """(tree, at, page, set_id, n, _file, _row): the sets in the order of their trees, cut into pages.
+def _paged(docs: DataFrame, sets: DataFrame, trees: DataFrame, threshold: int, page_sets: int) -> DataFrame:
+    """(tree, at, page, set_id, n, text): the sets in the order of their trees, cut into pages, with their texts.
 
     A page is a run of equal size class, so that its bound in shingles bounds its sets; its number is the
     class and the run's. ``at`` is the place of the set in units of ``page_sets``.
@@ -125,10 +125,11 @@ def _paged(sets: DataFrame, trees: DataFrame, threshold: int, page_sets: int) ->
     room = F.greatest(F.lit(1), F.least(F.lit(page_sets), F.floor(F.lit(PAGE_SHINGLES) / largest)))
     page = F.shiftleft(F.col("class").cast("long"), 40) + F.floor(F.col("place") / room)
     at = F.floor(F.col("place") / page_sets)
-    return store(placed.select("tree", at.alias("at"), page.alias("page"), "set_id", "n", "_file", "_row"), "paged")
+    paged = store(placed.select("tree", at.alias("at"), page.alias("page"), "set_id", "n", "_file", "_row"), "paged")
+    return joined_at(docs, ["text"], paged, "paged-texts").drop("_file", "_row")
 
 
-def _signed(docs: DataFrame, paged: DataFrame, words: int) -> DataFrame:
+def _signed(paged: DataFrame, words: int) -> DataFrame:
     """(tree, at, page, n, bits, excess) of the given sets, from their texts."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +143,7 @@ def _signed(docs: DataFrame, paged: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*kept, pa.array(bits, pa.binary()), pa.array(excess, pa.int64())], names)
 
     names = ["tree", "at", "page", "n", "bits", "excess"]
-    texts = with_locator(docs, ["text"]).join(paged, ["_file", "_row"]).select("tree", "at", "page", "n", "text")
-    return texts.mapInArrow(sign, "tree long, at long, page long, n long, bits binary, excess long")
+    return paged.select("tree", "at", "page", "n", "text").mapInArrow(sign, "tree long, at long, page long, n long, bits binary, excess long")
 
 
 def _shared_bits(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -160,7 +160,7 @@ def _possible(pairs: DataFrame, threshold: int) -> DataFrame:
     return bounded.where((F.col("x.id") == F.col("y.id")) | (F.col("overlap") >= needed)).select("tree", F.col("x.id").alias("x"), F.col("y.id").alias("y"))
 
 
-def _page_pairs(docs: DataFrame, paged: DataFrame, threshold: int, words: int) -> DataFrame:
+def _page_pairs(paged: DataFrame, threshold: int, words: int) -> DataFrame:
     """(tree, x, y): pairs of pages that may hold linked sets, by traversing the nodes above the pages.
 
     A node's children are those whose place, in units of its own, it has; there are at most a few roots.
@@ -174,7 +174,7 @@ def _page_pairs(docs: DataFrame, paged: DataFrame, threshold: int, words: int) -
         return single
     summed = [F.expr("bitmap_or_agg(bits)").alias("bits"), F.min("least").alias("least"), F.max("most").alias("most"), F.max("excess").alias("excess")]
     up = F.shiftright("at", FANOUT_BITS)
-    signed = _signed(docs, paged.join(large, "tree", "left_semi"), words).withColumns({"least": F.col("n"), "most": F.col("n")})
+    signed = _signed(paged.join(large, "tree", "left_semi"), words).withColumns({"least": F.col("n"), "most": F.col("n")})
     leaves = signed.groupBy("tree", F.col("page").alias("id")).agg(*summed, F.min("at").alias("at"))
     nodes = [store(leaves.withColumn("up", up), "tree-nodes")]
     for _ in range(int(np.ceil(np.log2(most) / FANOUT_BITS)) - 1):
@@ -258,7 +258,7 @@ def linked(left: Sequence[np.ndarray], right: Sequence[np.ndarray] | None, thres
     return found
 
 
-def _links(docs: DataFrame, paged: DataFrame, pairs: DataFrame, threshold: int, words: int, forest: bool) -> DataFrame:
+def _links(paged: DataFrame, pairs: DataFrame, threshold: int, words: int, forest: bool) -> DataFrame:
     """(a, b): linked sets of each pair of pages, or a forest of them. Trees of one page share tasks by page."""
     alone = F.when(F.col("pages") == 1, F.lit(-1)).otherwise(F.col("tree"))
     sides = pairs.select("tree", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("page"))
@@ -266,8 +266,7 @@ def _links(docs: DataFrame, paged: DataFrame, pairs: DataFrame, threshold: int,
     single = pairs.groupBy("tree").agg(F.max(F.greatest("x", "y")).alias("_most"), F.min(F.least("x", "y")).alias("_least"))
     shared = single.select("tree", F.when(F.col("_most") == F.col("_least"), F.lit(1)).otherwise(F.lit(2)).alias("pages"))
     work = sides.join(shared, "tree").select("tree", "x", "y", "page", alone.alias("task"))
-    texts = with_locator(docs, ["text"]).join(paged, ["_file", "_row"]).select("tree", "page", "set_id", "text")
-    dealt = texts.join(work, ["tree", "page"])
+    dealt = paged.select("tree", "page", "set_id", "text").join(work, ["tree", "page"])
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["tree", "page", "set_id"], ignore_index=True)
@@ -296,9 +295,9 @@ def _joined(docs: DataFrame, threshold: int, words: int, page_sets: int, forest:
     )
     # Numbers of a stored table stay.
     sets = store(sets.withColumn("s", F.monotonically_increasing_id()), "sets")
-    paged = _paged(sets, store(_trees(sets, threshold), "trees"), threshold, page_sets)
-    pairs = store(_page_pairs(docs, paged, threshold, words), "page-pairs")
-    return known.drop("tokens"), store(_links(docs, paged, pairs, threshold, words, forest), "links")
+    paged = _paged(docs, sets, store(_trees(sets, threshold), "trees"), threshold, page_sets)
+    pairs = store(_page_pairs(paged, threshold, words), "page-pairs")
+    return known.drop("tokens"), store(_links(paged, pairs, threshold, words, forest), "links")
 
 
 def similar_sets(docs: DataFrame, threshold: int = THRESHOLD, words: int = WORDS, page_sets: int = PAGE_SETS) -> tuple[DataFrame, DataFrame]:

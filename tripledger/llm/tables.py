@@ -5,34 +5,116 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripledger.sources.scratch import scratch_path, store
 
-__all__ = ["global_positions", "landed", "open_folder", "scratch_path", "store", "table", "with_locator"]
+__all__ = ["free_name", "global_positions", "landed", "open_folder", "quoted", "rows_at", "scratch_path", "store", "table", "with_locator"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Nodes of a plan that give each row of a file at most once.
+_PASSING = {"Project", "Filter", "SubqueryAlias"}
+
+
+def _reads_files_once(docs: DataFrame) -> bool:
+    """Whether each row is one row of one Parquet file, and ``text`` is what the file has under that name."""
+    plan = docs._jdf.queryExecution().analyzed()
+    texts = [a for a in _items(plan.output()) if a.name() == "text"]
+    while plan.nodeName() in _PASSING and plan.deterministic():
+        plan = plan.children().head()
+    if plan.nodeName() != "LogicalRelation" or not texts:
+        return False
+    stored = [a for a in _items(plan.output()) if a.name() == "text" and a.exprId().equals(texts[0].exprId())]
+    try:
+        docs.select(*_place(docs)).schema  # noqa: B018 - resolves the names
+        paths = [path.toString() for path in _items(plan.relation().location().rootPaths())]
+    except (AnalysisException, Py4JError):
+        return False
+    return bool(stored) and len(paths) == len(set(paths))
+
+
+def _items(sequence) -> list:
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
+def _place(docs: DataFrame) -> list[Column]:
+    metadata = docs.metadataColumn("_metadata")
+    return [metadata.getField("file_path").alias("_file"), metadata.getField("row_index").alias("_row")]
+
+
 def landed(docs: DataFrame) -> DataFrame:
-    """The frame if it reads Parquet files as they are, else a copy of it in the shared folder.
+    """The frame if it reads rows of Parquet files as they are, at most filtered, else a copy in the shared folder.
 
-    Rows of such a frame have a place that stays: file and row in the file.
+    Rows of such a frame have a place that stays: file and row in the file. Where rows may be repeated
+    (explode, joins, unions), drawn, or have another text than the file, their place names no row: a copy it is.
     """
-    try:
-        docs.select("_metadata.file_path", "_metadata.row_index").schema  # noqa: B018 - resolves the names
-        return docs
-    except AnalysisException:
-        return store(docs, "landed")
+    return docs if _reads_files_once(docs) else store(docs, "landed")
+
+
+def quoted(name: str) -> Column:
+    """The column of that name, whatever is in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
 
+def free_name(name: str, taken: Sequence[str]) -> str:
+    """The name, or the first of name_1, name_2, … that isn't taken, whatever the case."""
+    lower = {other.lower() for other in taken}
+    names = [name, *(f"{name}_{i}" for i in range(1, len(lower) + 2))]
+    return next(other for other in names if other.lower() not in lower)
 
-def with_locator(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
+
+def with_locator(docs: DataFrame, columns: Sequence[Column | str]) -> DataFrame:
     """The columns and ``_file``, ``_row``, the place of the row's content; for a :func:`landed` frame."""
-    return docs.select(*columns, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    return docs.select(*columns, *_place(docs))
+
+
+def rows_at(docs: DataFrame, places: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of a :func:`landed` frame whose place is, or with ``left_anti`` isn't, among (_file, _row).
+
+    All columns are kept, whatever their names: they travel as one.
+    """
+    whole = with_locator(docs, [F.struct(*map(quoted, docs.columns)).alias("_whole")])
+    return whole.join(places, ["_file", "_row"], how).select("_whole.*")
+
+
+_BLOOM = "spark.sql.optimizer.runtime.bloomFilter"
+
+
+def joined_at(docs: DataFrame, columns: Sequence[Column | str], places: DataFrame, name: str) -> DataFrame:
+    """The columns of the rows of a :func:`landed` frame at the given (_file, _row), with what else ``places`` has; stored.
+
+    For places that are few beside the rows: Spark's runtime Bloom filter, of at most 8 MB, keeps most other
+    rows out of the shuffle. It is asked for whatever the size of the scan, and however it fills the rows are right.
+    """
+    spark = docs.sparkSession
+    key = F.xxhash64("_file", "_row").alias("_place")
+    rows = with_locator(docs, columns).withColumn("_place", key)
+    # The filter is made of a side that is itself filtered.
+    few = places.withColumn("_place", key).where("_row >= 0").withColumnsRenamed({"_file": "_file_of", "_row": "_row_of"})
+    same = (F.col("_file") == F.col("_file_of")) & (F.col("_row") == F.col("_row_of"))
+    found = rows.join(few, "_place").where(same).drop("_place", "_file_of", "_row_of")
+    wanted = {
+        f"{_BLOOM}.enabled": "true",
+        f"{_BLOOM}.applicationSideScanSizeThreshold": "0",
+        f"{_BLOOM}.creationSideThreshold": "1g",
+        f"{_BLOOM}.numBits": str(1 << 26),
+        f"{_BLOOM}.expectedNumItems": "4000000",
+    }
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        return store(found, name)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def global_positions(df: DataFrame, order: Sequence[Column | str], name: str = "position") -> DataFrame:
@@ -43,21 +125,18 @@ def global_positions(df: DataFrame, order: Sequence[Column | str], name: str = "
     stored once.
     """
     low = F.lit((1 << 33) - 1)
+    part, at, shift = (free_name(own, df.columns) for own in ("_part", "_at", "_shift"))
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().bitwiseAND(low).alias("_at"))
+        .select("*", F.spark_partition_id().alias(part), F.monotonically_increasing_id().bitwiseAND(low).alias(at))
     )
     kept = store(placed, "positions")
-    counts = kept.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
+    counts = kept.groupBy(part).agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select(part, F.coalesce(F.sum("rows").over(before), F.lit(0)).alias(shift))
     # One row per partition.
-    return (
-        kept.join(F.broadcast(shifts), "_part")
-        .withColumn(name, F.col("_at") + F.col("_shift"))
-        .drop("_part", "_at", "_shift")
-    )
+    return kept.join(F.broadcast(shifts), part).withColumn(name, F.col(at) + F.col(shift)).drop(part, at, shift)
 
 
 def open_folder(uri: str):
