@@ -218,3 +218,12 @@ def test_first_rows_of_shards_of_very_many_rows(spark):
     for n in (10, 100_000_000, 2_147_483_647, 10**12):
         shards = spark.range(24).select(F.col("id").cast("int").alias("shard"))
         assert [r[0] for r in shards.select(hilbert._first(n, 24)).collect()] == [-(-k * n // 24) for k in range(24)]
+
+
+def test_marked_targets_weigh_like_joined_ones(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet") for name in ("documents", "labels"))
+    joined = resampling.resample(landed(resampling.labelled(docs, labels)))
+    marked = resampling.resample(docs, marks=resampling.marked(labels))
+    one, two = ({r["doc_id"]: (r["n_ngrams"], r["log_weight"]) for r in found.collect()} for found in (joined, marked))
+    assert one == two and len(one) == docs.count()
+    assert marked.where("selected").count() == joined.where("selected").count() > 0

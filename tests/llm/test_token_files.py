@@ -82,3 +82,25 @@ def test_query_against_whole_texts(spark):
         ids = np.array([*plain_ids(path, doc["text"]), 0], "<u4")
         assert (row["doc_id"], row["start"], row["n_tokens"], row["ids_crc32"]) == (doc["doc_id"], at, len(ids), crc32(ids.tobytes()))
         at += len(ids)
+
+
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_ids_are_those_of_the_library_without_any_flag(name):
+    path = default_path(name)
+    draw = random.Random(11)
+    signs = [" ", "\n", "\n\n", "\t", "a", "B", "the", "é", "ÿ", "÷", ",", ".", "'s", "1", "23", "<|endoftext|>", "<|ENDOFTEXT|>", "_", "日", "  ", "$", "~", "İ", "ª"]
+    texts = ["".join(draw.choice(signs) for _ in range(draw.randint(0, 12))) for _ in range(6000)]
+    encode = Encoder(path, kept_words=300)
+    plain = Tokenizer.from_file(path)
+    for low in range(0, len(texts), 700):
+        some = texts[low : low + 700]
+        assert encode(some) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in some]
+
+
+def test_special_strings_as_text():
+    path = default_path("byte_bpe_50k.json")
+    assert len(np.frombuffer(Encoder(path)(["a <|endoftext|> b"])[0], "<u4")) == 4
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    ids = plain.encode("a <|endoftext|> b", add_special_tokens=False).ids
+    assert np.frombuffer(Encoder(path, special_as_text=True)(["a <|endoftext|> b"])[0], "<u4").tolist() == ids and len(ids) > 4

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.llm.shingles import mix, word_hashes, windows
-from tripledger.llm.tables import landed, store, table, with_locator
+from tripledger.llm.tables import bloom_filtered, landed, store, table, with_locator
 
 # Hash buckets of a model: the size of all that is sent to tasks and the driver.
 BUCKETS = 10_000
@@ -55,19 +55,48 @@ def log_ratios(counts: DataFrame, buckets: int = BUCKETS, smoothing: float = SMO
     totals = np.zeros((2, buckets))
     for row in counts.collect():
         totals[int(row["target"]), row["bucket"]] = row["n"]
-    target, raw = totals[1] + smoothing, totals.sum(0) + smoothing
+    return _ratios(totals[1], totals.sum(0), smoothing)
+
+
+def _ratios(target: np.ndarray, raw: np.ndarray, smoothing: float) -> np.ndarray:
+    target, raw = target + smoothing, raw + smoothing
     return np.log(target / target.sum()) - np.log(raw / raw.sum())
 
 
-def resample(docs: DataFrame, share: float | None = None, k: int | None = None, buckets: int = BUCKETS, seed: int = SEED) -> DataFrame:
+def marked_ratios(docs: DataFrame, marks: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> np.ndarray:
+    """As :func:`log_ratios`, with targets named by id in (doc_id, target), one row of each: texts are not joined.
+
+    Raw counts take all texts as they are read; target counts only those that a Bloom filter of the ids lets through.
+    """
+    wanted = store(marks.where("target").select("doc_id", F.lit(1).alias("one")), "targets").where("one >= 1")
+    totals = np.zeros((2, buckets))
+    raw = model_counts(docs.select(F.lit(False).alias("target"), "text"), buckets)
+    with bloom_filtered(docs.sparkSession):
+        targets = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("target"), "text").join(wanted, "doc_id", "left_semi")
+        for counts in (raw, model_counts(targets, buckets)):
+            for row in counts.collect():
+                totals[int(row["target"]), row["bucket"]] = row["n"]
+    return _ratios(totals[1], totals[0], smoothing)
+
+
+def resample(
+    docs: DataFrame,
+    share: float | None = None,
+    k: int | None = None,
+    buckets: int = BUCKETS,
+    seed: int = SEED,
+    marks: DataFrame | None = None,
+) -> DataFrame:
     """(doc_id, n_ngrams, log_weight, gumbel_key, selected) and the locator of every document.
 
-    ``docs`` has doc_id, text and ``target``: true for texts like those wanted; null counts as false.
+    ``docs`` has doc_id, text and ``target``: true for texts like those wanted; null counts as false. Or
+    ``marks`` has (doc_id, target), one row for each id that is known.
     ``k`` documents are drawn, or the given share of all, or as many as the targets' share of the rows
     whose target is known. Null text is empty: weight 0, one way or the other by its noise. Repeated
     rows get noise of their own, by their place. Ties at the cut go by place, so exactly k are drawn.
     """
-    ratios = log_ratios(model_counts(docs, buckets), buckets)
+    docs = landed(docs)
+    ratios = log_ratios(model_counts(docs, buckets), buckets) if marks is None else marked_ratios(docs, marks, buckets)
     located = with_locator(docs, [F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")])
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +119,8 @@ def resample(docs: DataFrame, share: float | None = None, k: int | None = None,
     if k is None:
         n = weighed.count()
         if share is None:
-            known = docs.where("target is not null").agg(F.avg(F.col("target").cast("int"))).first()[0]
+            flags = docs if marks is None else docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(marks, "doc_id")
+            known = flags.where("target is not null").agg(F.avg(F.col("target").cast("int"))).first()[0]
             share = known if known is not None else 1.0
         k = round(n * share)
     return _largest(weighed, "gumbel_key", ["_file", "_row"], k)
@@ -129,14 +159,19 @@ def _largest(df: DataFrame, value: str, ties: list[str], k: int, cells: int = 40
     return marked.withColumn("selected", above | F.coalesce("_drawn", F.lit(False))).drop("_drawn")
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with ``target``: good and not toxic by its labels, null without. Repeated labels must all agree."""
+def marked(labels: DataFrame) -> DataFrame:
+    """(doc_id, target): whether its labels say good and not toxic. Repeated labels must all agree; null ids have none."""
     good = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
-    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.every(good).alias("target"))
-    return docs.select("doc_id", "text").join(known, "doc_id", "left")
+    ids = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    return ids.agg(F.every(good).alias("target"))
+
+
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """docs with ``target``, null without labels."""
+    return docs.select("doc_id", "text").join(marked(labels), "doc_id", "left")
 
 
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resamples documents towards those labelled good: as many as the good share of the labels."""
-    docs = labelled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return resample(landed(store(docs, "labelled"))).drop("_file", "_row")
+    marks = store(marked(table(spark, sf_dir, "labels")), "marks")
+    return resample(table(spark, sf_dir, "documents"), marks=marks).drop("_file", "_row")

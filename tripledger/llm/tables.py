@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
@@ -93,13 +94,19 @@ def joined_at(docs: DataFrame, columns: Sequence[Column | str], places: DataFram
     For places that are few beside the rows: Spark's runtime Bloom filter, of at most 8 MB, keeps most other
     rows out of the shuffle. It is asked for whatever the size of the scan, and however it fills the rows are right.
     """
-    spark = docs.sparkSession
     key = F.xxhash64("_file", "_row").alias("_place")
     rows = with_locator(docs, columns).withColumn("_place", key)
     # The filter is made of a side that is itself filtered.
     few = places.withColumn("_place", key).where("_row >= 0").withColumnsRenamed({"_file": "_file_of", "_row": "_row_of"})
     same = (F.col("_file") == F.col("_file_of")) & (F.col("_row") == F.col("_row_of"))
     found = rows.join(few, "_place").where(same).drop("_place", "_file_of", "_row_of")
+    with bloom_filtered(docs.sparkSession):
+        return store(found, name)
+
+
+@contextmanager
+def bloom_filtered(spark: SparkSession) -> Iterator[None]:
+    """Joins that run within it get Spark's runtime Bloom filter (8 MB at most) where one side is filtered and below 1 GB."""
     wanted = {
         f"{_BLOOM}.enabled": "true",
         f"{_BLOOM}.applicationSideScanSizeThreshold": "0",
@@ -111,7 +118,7 @@ def joined_at(docs: DataFrame, columns: Sequence[Column | str], places: DataFram
     try:
         for key, value in wanted.items():
             spark.conf.set(key, value)
-        return store(found, name)
+        yield
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)

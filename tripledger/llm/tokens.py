@@ -11,18 +11,25 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # one task thread, one CPU
 
-# Words whose ids a worker keeps: about 100 MB.
+# Words whose ids a worker keeps, in each of two stores: about 100 MB.
 KEPT_WORDS = 500_000
 # Words of Latin letters and common marks, with line ends between them, and the parts they are cut into.
 _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r".,;:!?#$%&*|"
 PLAIN = re.compile(rf"(?:[{_LETTERS}{_MARKS}]+)(?:\n[{_LETTERS}{_MARKS}]+)*")
 PARTS = re.compile(rf"[{_LETTERS}]+|[{_MARKS}]+|\n")
+# Parts of plain texts that both tokenizers always cut: letters, digits, ASCII marks but the apostrophe, single line
+# ends. Byte-level ones keep a space before a part with it; the others drop white space and take digits one by one.
+_SIGNS = r"[!-&(-/:-@\[-`{-~]+"
+PLAIN_PARTS = {
+    "spaces": re.compile(rf" ?[{_LETTERS}]+| ?{_SIGNS}| ?[0-9]+|\n(?!\n)"),
+    "words": re.compile(rf"[{_LETTERS}]+|{_SIGNS}|[0-9]"),
+}
 # Texts encoded together, so that what a few texts share is soon known.
 TOGETHER = 500
 
@@ -54,6 +61,7 @@ class Encoder:
         self.kept_words = kept_words
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.kind = _kind(rules)
         # Tokens that begin a word with its space, or end a word.
         vocabulary = self.tokenizer.get_vocab()
@@ -75,6 +83,44 @@ class Encoder:
             marked = dict(zip(odd, self._encode([filled[i] for i in odd]), strict=True))
             plain = iter(self([text for i, text in enumerate(filled) if i not in marked]))
             return [marked[i] if i in marked else next(plain) for i in range(len(filled))]
+        cut = [self._cut(text) for text in filled]
+        if any(parts is not None for parts in cut):
+            ids = self._plain([parts for parts in cut if parts is not None])
+            others = iter(self._by_words([text for text, parts in zip(filled, cut, strict=True) if parts is None]))
+            return [next(others) if parts is None else next(ids) for parts in cut]
+        return self._by_words(filled)
+
+    def _cut(self, text: str) -> list[str] | None:
+        """The parts of a plain text; None if it has anything else."""
+        parts = PLAIN_PARTS[self.kind].findall(text)
+        whole = text if self.kind == "spaces" else text.replace(" ", "").replace("\n", "")
+        return parts if "".join(parts) == whole else None
+
+    def _plain(self, texts: list[list[str]]) -> Iterator[bytes]:
+        """Ids of plain texts given as parts."""
+        new = {part for part in set().union(*texts) if part not in self.parts}
+        led = [part for part in new if part[0] == " "] if self.kind == "spaces" else [*new]
+        for start in range(0, len(led), 2000):
+            some = led[start : start + 2000]
+            # Encoded as one text, then cut where a part begins or ends.
+            one = self.tokenizer.encode_batch_fast(["".join(some) if self.kind == "spaces" else " ".join(some)], add_special_tokens=False)[0]
+            ids = np.asarray(one.ids, "<u4")
+            edge = np.flatnonzero(self.edges[ids])
+            cuts = [*edge.tolist(), len(ids)] if self.kind == "spaces" else [0, *(edge + 1).tolist()]
+            if len(cuts) - 1 == len(some):
+                data = ids.tobytes()
+                self.parts.update((part, data[4 * i : 4 * j]) for part, i, j in zip(some, cuts, cuts[1:]))
+            else:
+                self.parts.update(zip(some, self._encode(some), strict=True))
+        bare = [part for part in new if part not in self.parts]
+        self.parts.update(zip(bare, self._encode(bare), strict=True))
+        found = [b"".join(map(self.parts.__getitem__, parts)) for parts in texts]
+        if len(self.parts) > self.kept_words:
+            for part in new:
+                del self.parts[part]
+        return iter(found)
+
+    def _by_words(self, filled: list[str]) -> list[bytes]:
         if self.kind == "words":
             return self._join([(text.replace("\n", " ").split(" "), False) for text in filled], self.later, "")
         return self._join([(text.split(" "), True) for text in filled], self.later, " ")
@@ -89,10 +135,14 @@ class Encoder:
         Between letters and marks both tokenizers always cut, so such parts have ids of their own.
         """
         new = [word for word in words if word not in known]
-        plain = [word for word in new if PLAIN.fullmatch(word)]
+        # Letters alone, of any script, are never cut.
+        starts = {word for word in new if word.isalpha()}
+        mixed = [word for word in new if word not in starts]
+        plain = [word for word in mixed if PLAIN.fullmatch(word)]
         cut = [PARTS.findall(word) for word in plain]
-        starts, rest = {parts[0] for parts in cut}, {part for parts in cut for part in parts[1:]}
-        odd = [*set(new).difference(plain)]
+        rest = {part for parts in cut for part in parts[1:]}
+        starts.update(parts[0] for parts in cut)
+        odd = [*set(mixed).difference(plain)]
         fresh = [part for part in starts if part not in known]
         self._encode_words(fresh, known, lead)
         self._encode_words([part for part in rest if part not in self.first], self.first, "")
