@@ -26,10 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.llm.tables import store, table
-from tripledger.llm.tokens import KEPT_WORDS, default_path, encoder
+from tripledger.llm.tokens import default_path, encoder
 
 # Documents and characters of a chunk, and characters aligned at once; a longer document is one of its own.
-CHUNK_DOCS, CHUNK_CHARS, BATCH_CHARS = 4000, 8_000_000, 500_000
+CHUNK_DOCS, CHUNK_CHARS, BATCH_CHARS = 4000, 4_000_000, 250_000
+# Words whose ids a worker keeps, for each tokenizer.
+KEPT = 200_000
 # Links of a group that are spelled out one by one; larger groups go by their distinct ids.
 GROUP_LINKS = 4096
 SPACE = "▁"
@@ -46,21 +48,29 @@ class Bytes:
     """A byte-level tokenizer from a tokenizers file; special strings in texts are plain text."""
 
     def __init__(self, path: str):
-        self.encode = encoder(path, special_as_text=True)
+        self.encode = encoder(path, special_as_text=True, kept_words=KEPT)
         level = byte_level()
         vocabulary = self.encode.tokenizer.get_vocab()
         self.tokens = [b""] * (max(vocabulary.values()) + 1)
         for token, number in vocabulary.items():
             self.tokens[number] = bytes(map(level.__getitem__, token)) if all(c in level for c in token) else token.encode()
 
-    def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
-        return [np.frombuffer(ids, "<u4") for ids in self.encode(texts)]
+    def __call__(self, texts: Sequence[str]) -> list[np.ndarray | None]:
+        """Ids of each text; None where its tokens don't give back its bytes, which byte-level ones always do."""
+        found = [np.frombuffer(ids, "<u4") for ids in self.encode(texts)]
+        if self.encode.kind == "spaces":
+            return found
+        return [ids if _joined(ids, self.tokens) == text.encode() else None for text, ids in zip(texts, found, strict=True)]
+
+
+def _joined(ids: np.ndarray, tokens: list[bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids.tolist()))
 
 
 class Pieces:
     """A sentencepiece model. Ids of words it has seen are kept where no piece goes on beyond the end of a word."""
 
-    def __init__(self, path: str, kept_words: int = KEPT_WORDS):
+    def __init__(self, path: str, kept_words: int = KEPT):
         from sentencepiece import SentencePieceProcessor, sentencepiece_model_pb2
 
         self.model = SentencePieceProcessor(model_file=path)
@@ -74,11 +84,13 @@ class Pieces:
         kinds = rules.trainer_spec
         bpe = kinds.model_type == kinds.BPE and not kinds.treat_whitespace_as_suffix
         defined = any(piece.type == piece.USER_DEFINED for piece in rules.pieces)
-        self.by_words = plain and bpe and not defined and not any(SPACE in name.lstrip(SPACE) for name in names)
+        whole = sum(map(self.model.is_byte, range(len(names)))) == 256
+        self.by_words = plain and bpe and whole and not defined and not any(SPACE in name.lstrip(SPACE) for name in names)
         self.kept_words = kept_words
         self.known: dict[str, bytes] = {}
 
-    def __call__(self, texts: Sequence[str]) -> list[np.ndarray]:
+    def __call__(self, texts: Sequence[str]) -> list[np.ndarray | None]:
+        """Ids of each text; None where its tokens don't give back the bytes of space and text."""
         parts: list[list[str] | None] = []
         for text in texts:
             if not self.by_words or not text or text[-1] == " " or SPACE in text:
@@ -88,11 +100,16 @@ class Pieces:
                 parts.append([run[1:] for run in re.findall(" +[^ ]+", f" {text}")])
             else:
                 parts.append(text.split(" "))
-        new = list({word for words in parts if words for word in words}.difference(self.known))
+        new = [word for word in set().union(*filter(None, parts)) if word not in self.known]
         for word, ids in zip(new, self.model.encode(new, num_threads=1), strict=True):
             self.known[word] = np.asarray(ids, "<u4").tobytes()
         whole = iter(self.model.encode([text for text, words in zip(texts, parts, strict=True) if words is None], num_threads=1))
-        found = [np.asarray(next(whole), "<u4") if words is None else np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4") for words in parts]
+        found = []
+        for text, words in zip(texts, parts, strict=True):
+            ids = np.asarray(next(whole), "<u4") if words is None else np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
+            # Words without the space mark always come back, as their bytes are pieces where nothing else is.
+            same = words is not None or _joined(ids, self.tokens) == f" {text}".encode()
+            found.append(ids if same else None)
         if len(self.known) > self.kept_words:
             for word in new:
                 del self.known[word]
@@ -144,9 +161,8 @@ class Aligner:
         ids_a, ids_b = self.a(wanted), self.b([texts[i] for i in filled])
         empty = np.zeros(0, "<u4")
         all_a, all_b = [empty] * len(texts), [empty] * len(texts)
-        for i, text, one, two in zip(filled, wanted, ids_a, ids_b, strict=True):
-            raw = text.encode()
-            if raw == b"".join(map(self.a.tokens.__getitem__, one.tolist())) == b"".join(map(self.b.tokens.__getitem__, two.tolist())):
+        for i, one, two in zip(filled, ids_a, ids_b, strict=True):
+            if one is not None and two is not None:
                 all_a[i], all_b[i] = one, two
         return self._align(all_a, all_b)
 

@@ -220,11 +220,11 @@ def _kind(rules: dict) -> str:
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str, special_as_text: bool = False) -> Encoder:
+def encoder(path: str, special_as_text: bool = False, kept_words: int = KEPT_WORDS) -> Encoder:
     """The worker's encoder for a vocabulary file, made once."""
     key = (path, special_as_text)
     if key not in _encoders:
-        _encoders[key] = Encoder(path, special_as_text=special_as_text)
+        _encoders[key] = Encoder(path, kept_words, special_as_text)
     return _encoders[key]
 
 
