@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tripledger.llm.language import ORDER, SYMBOLS, fit, held_out, identify, keep_identified, op7_string_kernel_language, present, symbols, train
+from tripledger.llm.language import BUCKETS, ORDER, fit, held_out, identify, keep_identified, op7_string_kernel_language, present, train
 
 WORDS = {
     "aa": "the of and thing water stone house tree".split(),
@@ -27,13 +27,51 @@ def test_kernel_equals_plain_sets():
     chosen = [t for name in model.languages for t in [t for t, lang in zip(texts, languages, strict=True) if lang == name][:4]]
 
     def grams(text):
-        numbers = symbols(text, model.alphabet).tolist()
-        return {tuple(numbers[i : i + n]) for n in range(1, ORDER + 1) for i in range(len(numbers) - n + 1)}
+        # Buckets of texts that are one n-gram, so that two n-grams of one bucket are one.
+        found = set()
+        for n in range(1, ORDER + 1):
+            for i in range(len(text) - n + 1):
+                shorter = {bucket for k in range(n) for m in range(1, n) for bucket in np.flatnonzero(present(text[i + k : i + min(k + m, n)]))}
+                found |= shorter | set(np.flatnonzero(present(text[i : i + n])))
+        return found
+
+    expected = [[len(grams(a) & grams(b)) / np.sqrt(len(grams(a)) * len(grams(b))) for b in chosen] for a in texts[:2]]
+    assert np.allclose(model.kernel(texts[:2]), expected, atol=1e-5)
+    assert present("abab").sum() == 2 + 2 + 2 and present("ABAB").sum() == 6
+    assert len(present("")) == BUCKETS and not present("").any()
+
+
+SCRIPTS = {
+    "ru": "это дом и вода дерево камень который город большой человек время",
+    "el": "το σπίτι και νερό δέντρο πέτρα μεγάλη πόλη άνθρωπος χρόνος",
+    "bg": "това е къща и вода дърво камък който град голям човек време",
+    "en": "this is the house and water tree stone which city large person time",
+    "zh": "这是房子和水树石头城市大人时间我们他们不在有的了个",
+    "ja": "これは家と水です木の石が町に大きい人のじかんでするの",
+}
+
+
+def test_scripts_are_told_apart():
+    draw = random.Random(6)
+
+    def text(lang):
+        words = SCRIPTS[lang].split() if " " in SCRIPTS[lang] else list(SCRIPTS[lang])
+        return ("" if lang in ("zh", "ja") else " ").join(draw.choice(words) for _ in range(12))
 
-    expected = [[len(grams(a) & grams(b)) / np.sqrt(len(grams(a)) * len(grams(b))) for b in chosen] for a in texts[:5]]
-    assert np.allclose(model.kernel(texts[:5]), expected, atol=1e-5)
-    assert present(np.array([1, 2, 1, 2], np.uint8)).sum() == 2 + 2 + 2
-    assert len(present(np.zeros(0, np.uint8))) == SYMBOLS + SYMBOLS**2 + SYMBOLS**3
+    languages = [lang for lang in SCRIPTS for _ in range(40)]
+    model = fit([text(lang) for lang in languages], languages, landmarks=10)
+    scored = model.scores([text(lang) for lang in languages]).argmax(1)
+    assert np.mean([model.languages[i] == lang for i, lang in zip(scored, languages, strict=True)]) > 0.97
+    assert model.landmarks.shape[0] <= BUCKETS
+
+
+def test_training_texts_are_read_whole(spark):
+    texts, languages = sample(80)
+    shared = "0123456789 " * 3000
+    rows = [(i, shared + t, lang) for i, (t, lang) in enumerate(zip(texts, languages, strict=True))]
+    model = train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    named = [model.languages[i] for i in model.scores([shared + t for t in texts]).argmax(1)]
+    assert np.mean([a == b for a, b in zip(named, languages, strict=True)]) > 0.97
 
 
 def test_learns_languages():
