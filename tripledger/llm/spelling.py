@@ -14,9 +14,6 @@ of their word, where few words are below a node. Each level is two joins, on the
 
 from __future__ import annotations
 
-import os.path
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,9 +50,12 @@ def word_counts(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int =
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_count)
 
 
-def _common(first: pd.Series, last: pd.Series) -> pd.Series:
-    """Length of what two words begin with."""
-    return pd.Series([len(os.path.commonprefix(pair)) for pair in zip(first, last, strict=True)], dtype="int32")
+# What two words begin with: its length is halved in on, from the highest power of two below theirs.
+_COMMON = """
+    aggregate(
+        sequence(cast(floor(log2(length(least))) as int), 0, -1), 0,
+        (k, e) -> if(k + shiftleft(1, e) <= length(least) and left(least, k + shiftleft(1, e)) = left(most, k + shiftleft(1, e)), k + shiftleft(1, e), k)
+    )"""
 
 
 def _edges(walking: DataFrame) -> DataFrame:
@@ -64,14 +64,12 @@ def _edges(walking: DataFrame) -> DataFrame:
     The smallest and the largest word over an edge have in common what all words over it have in common.
     An edge over which one word goes leads to its leaf. ``label`` is what follows ``char``.
     """
-    common = F.pandas_udf(_common, "int")
     below = walking.groupBy("side", "node", F.expr("substr(word, position + 1, 1)").alias("char")).agg(
         F.count(F.lit(1)).alias("n"), F.min("word").alias("least"), F.max("word").alias("most")
     )
-    inner = below.where("n > 1").withColumn("depth", common("least", "most"))
-    inner = inner.select("side", "node", "char", F.expr("left(least, depth)").alias("child"), F.lit(False).alias("leaf"))
-    leaves = below.where("n = 1").select("side", "node", "char", F.col("least").alias("child"), F.lit(True).alias("leaf"))
-    return inner.unionAll(leaves).withColumn("label", F.expr("substr(child, length(node) + 2)"))
+    child = F.expr(f"if(n = 1, least, left(least, {_COMMON}))")
+    edges = below.select("side", "node", "char", child.alias("child"), (F.col("n") == 1).alias("leaf"))
+    return edges.withColumn("label", F.expr("substr(child, length(node) + 2)"))
 
 
 def _spells(position: str) -> str:

@@ -91,8 +91,8 @@ _BLOOM = "spark.sql.optimizer.runtime.bloomFilter"
 def joined_at(docs: DataFrame, columns: Sequence[Column | str], places: DataFrame, name: str) -> DataFrame:
     """The columns of the rows of a :func:`landed` frame at the given (_file, _row), with what else ``places`` has; stored.
 
-    For places that are few beside the rows: Spark's runtime Bloom filter, of at most 8 MB, keeps most other
-    rows out of the shuffle. It is asked for whatever the size of the scan, and however it fills the rows are right.
+    For places that are few beside the rows: Spark's runtime Bloom filter keeps most other rows out of the shuffle.
+    It is asked for whatever the size of the scan; beyond some millions of places it fills up, and rows stay right.
     """
     key = F.xxhash64("_file", "_row").alias("_place")
     rows = with_locator(docs, columns).withColumn("_place", key)
@@ -106,13 +106,11 @@ def joined_at(docs: DataFrame, columns: Sequence[Column | str], places: DataFram
 
 @contextmanager
 def bloom_filtered(spark: SparkSession) -> Iterator[None]:
-    """Joins that run within it get Spark's runtime Bloom filter (8 MB at most) where one side is filtered and below 1 GB."""
+    """Joins that run within it get Spark's runtime Bloom filter (of 1 MB, by its defaults) where one side is filtered and below 1 GB."""
     wanted = {
         f"{_BLOOM}.enabled": "true",
         f"{_BLOOM}.applicationSideScanSizeThreshold": "0",
         f"{_BLOOM}.creationSideThreshold": "1g",
-        f"{_BLOOM}.numBits": str(1 << 26),
-        f"{_BLOOM}.expectedNumItems": "4000000",
     }
     before = {key: spark.conf.get(key, None) for key in wanted}
     try:
