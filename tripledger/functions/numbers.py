@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -63,23 +64,31 @@ def total(amount: Column | str, scale: int = SCALE) -> Column:
     10^12 on). NaN, infinities and cells from 10^24 on are added as doubles: NaN and infinities come out as
     such, and only those huge cells are rounded by order.
     """
+    return total_of(total_parts(amount, scale), scale)
+
+
+def total_parts(amount: Column | str, scale: int = SCALE) -> list[Column]:
+    """The sums that a total is made of: aggregates that may be stored, and added up to those of more rows."""
     column = (F.col(amount) if isinstance(amount, str) else amount).cast("double")
     units = whole_units(column, scale)
     odd, size = units.isNull() & column.isNotNull(), F.abs(column)
-    high, low = F.sum(F.shiftright(units, _HALF)), F.sum(units.bitwiseAND(F.lit((1 << _HALF) - 1)))
-    others = [
+    return [
+        F.sum(F.shiftright(units, _HALF)),
+        F.sum(units.bitwiseAND(F.lit((1 << _HALF) - 1))),
         F.sum(F.when(odd & (size < _SMALL), column.cast("decimal(38,18)"))),
         F.sum(F.when(odd & (size >= _SMALL) & (size < _LARGE), column.cast("decimal(38,4)"))),
         F.sum(F.when(odd & ~(size < _LARGE), column)),
     ]
+
+
+def total_of(parts: Sequence[Column], scale: int = SCALE) -> Column:
+    """The total as a double, of the parts that :func:`total_parts` gives."""
+    high, low, *others = parts
     whole = (high.cast("decimal(28,0)") * F.lit(Decimal(1 << _HALF)) + low.cast("decimal(28,0)")) * F.lit(Decimal(1).scaleb(-scale))
     zero = F.lit(0.0)
-    summed = F.coalesce(whole.cast("double"), zero)
-    for other in others:
-        summed = summed + F.coalesce(other.cast("double"), zero)
-    known = high.isNotNull()
+    summed, known = F.coalesce(whole.cast("double"), zero), high.isNotNull()
     for other in others:
-        known = known | other.isNotNull()
+        summed, known = summed + F.coalesce(other.cast("double"), zero), known | other.isNotNull()
     return F.when(known, summed)
 
 
