@@ -96,3 +96,15 @@ def test_repeated_items_and_bounded_blocks(spark, monkeypatch):
     assert sorted(((r["doc_id"], r["item_id"]) for r in found.collect()), key=str) == sorted([(1, 1)] * 40 + [(1, 2)] + [(2, None)] * 4, key=str)
     assert sorted((x for block in made for x in block), key=str) == sorted(set(rows), key=str)
     assert all(len(block) <= 3 and (len(block) == 1 or sum(len(text) for _, text in block) <= 150) for block in made)
+
+
+def test_repetitive_texts_in_linear_memory():
+    import tracemalloc
+
+    tracemalloc.start()
+    tiles = greedy_tiles(["a"] * 200, ["a"] * 60_000)
+    small = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tiles == [(0, 0, 200)] and small < 60e6
+    for item, text in ((["a", "b"] * 10, ["b", "a"] * 30), (["a"] * 17, ["a"] * 23 + ["b"] + ["a"] * 9), (list("abcabcabcd"), list("cabcabcabcdabc"))):
+        assert sorted(greedy_tiles(item, text)) == sorted(plain_tiles(item, text, MIN_MATCH))

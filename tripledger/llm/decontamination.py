@@ -67,19 +67,20 @@ def greedy_tiles(item: list, text: list, min_match: int = MIN_MATCH) -> list[tup
         seeds[h].append(i)
     hashes = running_hashes(mix(b + np.uint64(1)), min_match)
     hits = np.flatnonzero(np.isin(hashes, np.array(list(seeds), np.uint64)))
-    starts = {(i, j) for j in hits.tolist() for i in seeds[int(hashes[j])]}
-    # A seed that continues the one before it on both sides lies within that run.
-    firsts = [(i, j) for i, j in starts if (i - 1, j - 1) not in starts]
+    places = {h: np.array(own) for h, own in seeds.items()}
     runs = []
-    for i, j in firsts:
-        n = 0
-        while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
-            n += 1
-        if n >= min_match:
-            runs.append((-n, i, j))
+    for j in hits.tolist():
+        own = places[int(hashes[j])]
+        # A seed that continues the one before it on both sides lies within that run: only starts are kept.
+        for i in (own[(own == 0) | (a[own - 1] != b[j - 1])] if j else own).tolist():
+            most = min(len(a) - i, len(b) - j)
+            apart = a[i : i + most] != b[j : j + most]
+            n = int(apart.argmax()) if apart.any() else most
+            if n >= min_match:
+                runs.append((-n, i, j))
     heapq.heapify(runs)
     marked_a, marked_b, tiles = np.zeros(len(a), bool), np.zeros(len(b), bool), []
-    while runs:
+    while runs and not marked_a.all():
         size, i, j = heapq.heappop(runs)
         n = -size
         free = ~(marked_a[i : i + n] | marked_b[j : j + n])
@@ -209,5 +210,6 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op10_greedy_tiling_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in all documents. Nulls and other cases: see tiled_items."""
     docs = landed(table(spark, sf_dir, "documents"))
     return tiled_items(docs, table(spark, sf_dir, "benchmark")).drop("_file", "_row")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.llm.components import connected_components
-from tripledger.llm.shingles import WORDS, shingle_sets
+from tripledger.llm.shingles import WORDS, groups_sql, shingle_sets
 from tripledger.llm.tables import landed, rows_at, store, table, with_locator
 
 # 100 * intersection >= THRESHOLD * union.
@@ -263,5 +263,13 @@ def keep_one(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return rows_at(docs, near_duplicates(docs, threshold).where("not kept").select("_file", "_row"), "left_anti")
 
 
+ORACLE = {
+    "op8_setsketch_near_dedup": f"""
+        WITH RECURSIVE {groups_sql(WORDS, THRESHOLD)}
+        SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM grouped"""
+}
+
+
 def op8_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents whose 5-word shingles overlap by 85 of 100. Nulls and ties: see near_duplicates."""
     return near_duplicates(table(spark, sf_dir, "documents")).drop("_file", "_row")

@@ -81,3 +81,31 @@ def shingle_sets(texts: Sequence[str | None], n: int = WORDS) -> Iterator[np.nda
     """Per text, the sorted hashes of its distinct shingles."""
     for words in word_hashes(texts):
         yield np.unique(windows(words, n))
+
+
+def groups_sql(words: int, threshold: int) -> str:
+    """SQL of a table ``grouped`` (doc_id, n_shingles, component_id): what linked sets of word shingles give, in its plainest form."""
+    return rf"""
+        split AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, unnest(list_distinct(CASE
+                WHEN len(w) >= {words} THEN list_transform(range(1, len(w) - {words - 2}), lambda i: array_to_string(w[i:i + {words - 1}], ' '))
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END)) AS shingle
+            FROM split
+        ), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1
+        ), met AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+            FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+        ), links AS (
+            SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * shared >= {threshold} * (x.n + y.n - shared)
+        ), reached(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
+        ), grouped AS (
+            SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(other) AS component_id
+            FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+        )"""

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.llm.components import connected_components
-from tripledger.llm.shingles import shingle_sets
+from tripledger.llm.shingles import groups_sql, shingle_sets
 from tripledger.llm.tables import global_positions, joined_at, landed, store, table, with_locator
 
 # Words of a shingle; 100 * intersection >= THRESHOLD * union.
@@ -339,28 +339,5 @@ def op12_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE = {
-    "op12_signature_tree_join": r"""
-        WITH RECURSIVE split AS (
-            SELECT doc_id, regexp_extract_all(
-                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
-            FROM documents
-        ), sets AS (
-            SELECT doc_id, unnest(list_distinct(CASE
-                WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
-                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END)) AS shingle
-            FROM split
-        ), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1
-        ), met AS (
-            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
-            FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
-        ), links AS (
-            SELECT a, b FROM met JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-            WHERE 100 * shared >= 85 * (x.n + y.n - shared)
-        ), reached(doc_id, other) AS (
-            SELECT doc_id, doc_id FROM documents
-            UNION SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other
-        )
-        SELECT doc_id, coalesce(max(n), 0) AS n_shingles, min(other) AS component_id
-        FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
-    """
+    "op12_signature_tree_join": f"WITH RECURSIVE {groups_sql(WORDS, THRESHOLD)} SELECT doc_id, n_shingles, component_id FROM grouped"
 }
