@@ -13,8 +13,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating large and small stars: each round ties neighbours to the smallest node around, until
     all nodes hang on their component's smallest. Every round is stored in the shared folder; the
-    driver sees two numbers a round. A node with very many edges is a skewed key of a join, which
-    Spark splits, and its minimum is taken before the shuffle. Null ends and loops are left out.
+    driver sees two numbers a round. A node with very many edges is a skewed key of a join. Its minimum
+    is taken before the shuffle, and the join has null-safe keys, so that both sides are shuffled for it
+    alone and Spark can split the node's edges. Null ends and loops are left out.
     """
     lower, higher = F.least("a", "b").alias("v"), F.greatest("a", "b").alias("u")
     current = store(edges.where("a <> b").select(higher, lower).distinct(), "edges")
@@ -36,11 +37,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     # An edge's larger end is tied to the smallest node around its smaller end.
-    return edges.join(least.select(F.col("u").alias("v"), "m"), "v").select("u", F.col("m").alias("v")).distinct()
+    around = least.select(F.col("u").alias("_v"), "m")
+    return edges.join(around, F.col("v").eqNullSafe(F.col("_v"))).select("u", F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Ties a node and its smaller neighbours to the smallest of them."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    tied = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    around = least.withColumnRenamed("u", "_u")
+    tied = edges.join(around, F.col("u").eqNullSafe(F.col("_u"))).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return tied.unionAll(least.select("u", F.col("m").alias("v"))).distinct()

@@ -126,8 +126,11 @@ def _clusters(sketches: DataFrame) -> DataFrame:
     """(node, component): nodes that share a band with another, by cluster."""
     nodes = sketches.where("node is not null").groupBy("node").agg(F.min("bands").alias("bands"))
     banded = store(nodes.select("node", F.posexplode("bands").alias("band", "value")), "bands")
-    firsts = banded.groupBy("band", "value").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    edges = banded.join(firsts, ["band", "value"]).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    keys = [F.col("band").alias("_band"), F.col("value").alias("_value")]
+    firsts = banded.groupBy(*keys).agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Null-safe keys have a shuffle of their own on either side, so a frequent band is split at run time.
+    same = F.col("band").eqNullSafe(F.col("_band")) & F.col("value").eqNullSafe(F.col("_value"))
+    edges = banded.join(firsts, same).where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
     return connected_components(edges)
 
 
@@ -139,7 +142,9 @@ def _blocks(clusters: DataFrame, sizes: DataFrame, block: int, block_shingles: i
     known = clusters.join(sizes, "node")
     totals = known.groupBy("component").agg(F.count(F.lit(1)).alias("_nodes"), F.sum("n_shingles").alias("_shingles"))
     n = F.ceil(F.greatest(F.col("_nodes") / block, F.col("_shingles") / block_shingles)).cast("int")
-    cut = known.join(totals, "component").withColumn("_n", n)
+    # Null-safe keys have a shuffle of their own on either side, so a large cluster is split at run time.
+    totals = totals.withColumnRenamed("component", "_cluster")
+    cut = known.join(totals, F.col("component").eqNullSafe(F.col("_cluster"))).withColumn("_n", n)
     dealt = cut.select(
         "node",
         F.col("component").alias("cluster"),
@@ -243,8 +248,8 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, block: int = BL
         .join(groups, "node", "left")
         .select("node", "least", F.coalesce("component", "node").alias("component"))
     )
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = named.join(least, "component").select("node", "component_id")
+    least = named.groupBy(F.col("component").alias("_component")).agg(F.min("least").alias("component_id"))
+    ids = named.join(least, F.col("component").eqNullSafe(F.col("_component"))).select("node", "component_id")
     found = sketches.drop("bands").join(ids, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return found.select(

@@ -105,8 +105,9 @@ def _trees(sets: DataFrame, threshold: int) -> DataFrame:
     own = F.col("n_pool") - F.expr("size(filter(shared, x -> not x.late))")
     first = by_set.join(known, "s").withColumn("_take", F.greatest(n_first - own, F.lit(0)).cast("int"))
     prefix = store(first.select("s", F.explode(F.expr("slice(shared, 1, _take)")).alias("x")).select("s", "x.token"), "prefixes")
-    roots = prefix.groupBy("token").agg(F.min("s").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    edges = prefix.join(roots, "token").where("s <> least").select(F.col("s").alias("a"), F.col("least").alias("b"))
+    roots = prefix.groupBy(F.col("token").alias("_token")).agg(F.min("s").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Null-safe keys have a shuffle of their own on either side, so a frequent shingle is split at run time.
+    edges = prefix.join(roots, F.col("token").eqNullSafe(F.col("_token"))).where("s <> least").select(F.col("s").alias("a"), F.col("least").alias("b"))
     return connected_components(edges).select(F.col("node").alias("s"), F.col("component").alias("tree"))
 
 
