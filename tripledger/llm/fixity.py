@@ -10,12 +10,16 @@ that differ, records are paired by their ids, not by their places. Everything is
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+import re
+import zlib
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripledger.llm.tables import global_positions, store, table
+from tripledger.llm.tables import global_positions, open_folder, store, table, temporary_name
 
 FANOUT = 16
 # Records of one file.
@@ -151,6 +155,94 @@ def replica(pages: DataFrame, payload: Column) -> DataFrame:
     return holding(records(pages, html=payload), "html")
 
 
+def write_replica(filed: DataFrame, folder: str) -> DataFrame:
+    """Writes the records (file, place, bytes) to one WARC file per ``file`` below the folder; returns the manifest (file, name).
+
+    Records follow each other in order of ``place``. A file appears when it is complete; a task that runs
+    again writes the same file. Files have as many records as :func:`records` gives them, or a few more.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, path = open_folder(folder)
+        current, out, draft = None, None, ""
+
+        def close() -> pa.RecordBatch:
+            out.close()
+            filesystem.move(draft, f"{path}/{current:08d}.warc")
+            return pa.RecordBatch.from_pydict({"file": pa.array([current], pa.int64()), "name": [f"{current:08d}.warc"]})
+
+        for batch in batches:
+            for file, data in zip(batch.column("file").to_pylist(), batch.column("bytes"), strict=True):
+                if file != current:
+                    if out:
+                        yield close()
+                    current, draft = file, f"{path}/{temporary_name(f'{file:08d}')}"
+                    out = filesystem.open_output_stream(draft)
+                out.write(data.as_py())
+        if out:
+            yield close()
+
+    ordered = filed.select(F.col("file").cast("long").alias("file"), "place", "bytes").repartition("file").sortWithinPartitions("file", "place", "bytes")
+    manifest = f"{folder}/manifest"
+    ordered.select("file", "bytes").mapInArrow(write, "file long, name string").write.parquet(manifest)
+    return filed.sparkSession.read.parquet(manifest)
+
+
+def parsed(data: bytes) -> Iterator[tuple[int, int, int | None, bytes]]:
+    """(start, end, page_id, uri) of the records in a file's bytes, whatever has happened to them.
+
+    Where a record doesn't end as its length says, it ends where the next one begins, or the file ends.
+    """
+    magic, stop, start = HEAD[0][:10].encode(), END.encode(), 0
+    while start < len(data):
+        head_end = data.find(stop, start)
+        head = data[start : head_end if head_end >= 0 else len(data)]
+        length = re.search(rb"Content-Length: ([0-9]{1,18})", head)
+        end = head_end + len(stop) + int(length[1]) + len(stop) if length and head_end >= 0 else -1
+        if end < 0 or data[end - len(stop) : end] != stop or end < len(data) and not data.startswith(magic, end):
+            following = data.find(stop + magic, start + 1)
+            end = following + len(stop) if following >= 0 else len(data)
+        name, uri = re.search(rb"<urn:page:(-?[0-9]{1,18})>", head), re.search(rb"WARC-Target-URI: ([^\r\n]*)", head)
+        yield start, end, int(name[1]) if name else None, uri[1] if uri else b""
+        start = end
+
+
+def read_replica(manifest: DataFrame, folder: str) -> DataFrame:
+    """Leaves of the WARC files that the manifest (file, name) lists: what :func:`tree` takes.
+
+    A file that is gone has no records, so that all of its records are missing.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filesystem, path = open_folder(folder)
+        for batch in batches:
+            for file, name in zip(batch.column("file").to_pylist(), batch.column("name").to_pylist(), strict=True):
+                try:
+                    with filesystem.open_input_stream(f"{path}/{name}") as stream:
+                        data = stream.read()
+                except FileNotFoundError:
+                    continue
+                found = [
+                    (file, seq, start, end, hashlib.sha256(data[start:end]).hexdigest(), page_id, zlib.crc32(uri))
+                    for seq, (start, end, page_id, uri) in enumerate(parsed(data))
+                ]
+                columns = list(zip(*found, strict=True)) if found else [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(columns, kinds, strict=True)], [n for n, _ in kinds])
+
+    kinds = [
+        ("file", pa.int64()), ("seq", pa.int32()), ("start", pa.int64()), ("end", pa.int64()),
+        ("digest", pa.string()), ("page_id", pa.int64()), ("url_crc32", pa.int64()),
+    ]
+    files = manifest.select(F.col("file").cast("long").alias("file"), "name")
+    dealt = files.repartition(max(1, manifest.sparkSession.sparkContext.defaultParallelism * 2), "file")
+    return dealt.mapInArrow(read, "file long, seq int, start long, end long, digest string, page_id long, url_crc32 long")
+
+
+def audit_stored(ours: tuple[DataFrame, str], theirs: tuple[DataFrame, str], levels: int = LEVELS, fanout: int = FANOUT) -> DataFrame:
+    """:func:`audit` of two stored replicas, each a manifest and a folder, from the bytes of their files."""
+    return audit(*(tree(read_replica(*side), levels, fanout) for side in (ours, theirs)), fanout)
+
+
 def rotten(page_id: Column, html: Column) -> Column:
     """The payload with a sign in place of its first or its last character, for about one page in fifty."""
     fate, mark = F.pmod(page_id * 7919, F.lit(97)), F.lit("#")
