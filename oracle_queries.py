@@ -370,4 +370,11 @@ ORACLE |= {
     "co_located_driver_of_each_day": ORACLE["driver_of_each_day"],
     "arrivals_clean_trip": ORACLE["clean_trip"],
     "kept_revenue_by_vendor": ORACLE["revenue_by_vendor"],
+    "kept_profile": _on_fare("""
+        SELECT 'fare_amount' AS "column", count(*) AS rows, count(*) - count(fare_amount) AS nulls, true AS distinct_near, true AS quartiles_near FROM fare
+        UNION ALL SELECT 'tip_amount', count(*), count(*) - count(tip_amount), true, true FROM fare
+        UNION ALL SELECT 'medallion', count(*), count(*) - count(medallion), true, true FROM fare"""),
+    "csv_rejected_cells": """
+        SELECT 'part_key' AS "column", 'no. ' || l_partkey AS value, count(*) AS n FROM lineitem WHERE l_linenumber = 7 GROUP BY 2
+        UNION ALL SELECT 'due', 'tomorrow', count(*) FROM lineitem WHERE l_linenumber > 5 AND l_orderkey % 3 = 0""",
 }

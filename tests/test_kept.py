@@ -8,15 +8,18 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from samples import rows_of
 
 from tripledger.functions import total
 from tripledger.operators.cleaning import clean
 from tripledger.operators.kept_totals import add_load, kept_totals
+from tripledger.operators.kept_profile import RANK_ERROR, add_load_profile, kept_profile
 from tripledger.plans.catalog import QUESTIONS
-from tripledger.sources import materialize
+from tripledger.sources import materialize, read_csv
 from tripledger.sources.arrivals import add_arrivals
 from tripledger.sources.bucketed import co_locate, co_located, even_keys, open_bucketed
+from tripledger.sources.csv_files import rejected_cells
 from tripledger.sources.lineitem import fare_table, trip_table
 from tripledger.sources.scratch import scratch_path
 
@@ -113,3 +116,43 @@ def test_totals_of_loads_are_those_of_one_pass(spark):
     expected = whole.groupBy("g").agg(F.count(F.lit(1)).alias("n"), total("x").alias("sx"), total("y").alias("sy"))
     assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect()))
     assert all(path in file for file in found.inputFiles())
+
+
+def test_profiles_of_loads_stay_within_their_bounds(spark):
+    draw = random.Random(4)
+    loads = [[(draw.choice([None, draw.gauss(0, 5), float(i)]), f"k{draw.randint(0, 4000)}" if draw.random() > 0.1 else None) for _ in range(8000)] for i in range(3)]
+    path = scratch_path(spark, "profile")
+    for i, rows in enumerate((*loads, loads[1])):
+        add_load_profile(spark.createDataFrame(rows, "x double, `a.b` string"), path, str(i if i < 3 else 1))
+    found = {r["column"]: r for r in kept_profile(spark, path).collect()}
+    rows = [row for load in loads for row in load]
+    for k, name in enumerate(("x", "a.b")):
+        values = [row[k] for row in rows]
+        assert (found[name]["rows"], found[name]["nulls"]) == (24_000, values.count(None))
+        assert abs(found[name]["distinct"] / len(set(values)) - 1) < 0.05
+    numbers = sorted(row[0] for row in rows if row[0] is not None)
+    for name, share in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        value, slack = found["x"][name], RANK_ERROR * len(numbers)
+        assert sum(n < value for n in numbers) - slack <= share * len(numbers) <= sum(n <= value for n in numbers) + slack
+        assert found["a.b"][name] is None
+
+
+def test_profiles_of_odd_columns(spark):
+    path = scratch_path(spark, "profile")
+    add_load_profile(spark.createDataFrame([(math.nan, None, 1), (1.0, None, None)], "x double, y double, z int"), path, "a")
+    add_load_profile(spark.createDataFrame([], "x double, y double, z int"), path, "b")
+    found = {r["column"]: r for r in kept_profile(spark, path).collect()}
+    assert found["x"]["p25"] == 1.0 and math.isnan(found["x"]["p75"]) and found["x"]["distinct"] == 2
+    assert found["y"]["p50"] is None and found["y"]["distinct"] == 1 and found["z"]["p50"] == 1.0 and found["z"]["nulls"] == 1
+
+
+def test_rejected_cells_are_reported_once(spark, tmp_path):
+    lines = ["n,t,x,s", "1,2013-01-01 00:00:00,1.5,a", "one,2013-01-01 00:00:00,2.5,b", '2,yesterday,"1,5",c', ",,,", "3,2013-01-01 00:00:00", "4,2013-01-01 00:00:00,1,d,e"]
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    schema = StructType.fromDDL("n int, t timestamp_ntz, x double, s string")
+    found = {(r["line"], r["column"], r["value"]) for r in rejected_cells(spark, str(tmp_path), schema).collect()}
+    assert found == {
+        (lines[2], "n", "one"), (lines[3], "t", "yesterday"), (lines[3], "x", "1,5"), (lines[5], None, None), (lines[6], None, None),
+    }
+    stored = read_csv(spark, str(tmp_path), schema)
+    assert stored.count() == 6 and stored.where("n is null").count() == 2
