@@ -16,7 +16,8 @@ from tripledger.operators.cleaning import clean
 from tripledger.operators.kept_totals import add_load, kept_totals
 from tripledger.operators.kept_profile import RANK_ERROR, add_load_profile, kept_profile
 from tripledger.plans.catalog import QUESTIONS
-from tripledger.sources import materialize, read_csv
+from tripledger.schema import PADDED_FARE_SCHEMA
+from tripledger.sources import materialize, read_csv, write_csv
 from tripledger.sources.arrivals import add_arrivals
 from tripledger.sources.bucketed import co_locate, co_located, even_keys, open_bucketed
 from tripledger.sources.csv_files import rejected_cells
@@ -156,3 +157,37 @@ def test_rejected_cells_are_reported_once(spark, tmp_path):
     }
     stored = read_csv(spark, str(tmp_path), schema)
     assert stored.count() == 6 and stored.where("n is null").count() == 2
+
+
+def test_a_run_that_was_broken_off_goes_on(spark, tmp_path, monkeypatch):
+    from tripledger.plans import reports
+
+    fare, trip = fare_table(spark, SF_DIR), trip_table(spark, SF_DIR)
+    write_csv(fare.limit(500).toDF(*PADDED_FARE_SCHEMA.fieldNames()), f"{tmp_path}/trip_fare")
+    write_csv(trip.limit(500), f"{tmp_path}/trip_data")
+    names = list(QUESTIONS)[:6]
+    monkeypatch.setattr(reports, "QUESTIONS", {name: QUESTIONS[name] for name in names})
+    asked, broken = [], [names[3]]
+
+    def counted(answer, path, **options):
+        name = path.rpartition("/")[2]
+        asked.append(name)
+        if name in broken:
+            broken.remove(name)
+            (tmp_path / "output" / name).mkdir()
+            raise RuntimeError("lost")
+        return write_csv(answer, path, **options)
+
+    monkeypatch.setattr(reports, "write_csv", counted)
+    with pytest.raises(RuntimeError):
+        reports.run(spark, str(tmp_path))
+    assert asked == ["fare_profile", *names[:4]]
+    kept = {name: sorted(p.name for p in (tmp_path / "output" / name).iterdir()) for name in names[:3]}
+    (tmp_path / "trip_fare").rename(tmp_path / "gone")
+    asked.clear()
+    reports.run(spark, str(tmp_path), resume=True)
+    assert asked == names[3:]
+    assert kept == {name: sorted(p.name for p in (tmp_path / "output" / name).iterdir()) for name in names[:3]}
+    asked.clear()
+    reports.run(spark, str(tmp_path), resume=True)
+    assert asked == [] and all((tmp_path / "output" / name / "_SUCCESS").exists() for name in names)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.sources.parquet_tables import read_parquet
+from tripledger.sources.settings import with_settings
 
 # Keys that all joins of fares and trips have: what is dealt out by these is dealt out by all of them.
 DRIVER_PICKUP = ("hack_license", "pickup_datetime")
@@ -52,15 +52,9 @@ def co_locate(
     return tuple(write_bucketed(df, f"{name}_{side}", f"{folder}/{side}", keys, buckets) for df, side in ((fare, "fare"), (trip, "trip")))
 
 
-@contextmanager
-def co_located(spark: SparkSession) -> Iterator[None]:
+def co_located(spark: SparkSession):
     """Within it, joins on more than the bucket keys keep the buckets: plan and run the questions inside."""
-    wanted = {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
-    before = {key: spark.conf.get(key) for key in wanted}
-    try:
-        for key, value in wanted.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+    return with_settings(
+        spark,
+        {"spark.sql.requireAllClusterKeysForCoPartition": "false", "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"},
+    )
