@@ -112,10 +112,10 @@ def _trees(sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _paged(docs: DataFrame, sets: DataFrame, trees: DataFrame, threshold: int, page_sets: int) -> DataFrame:
-    """(tree, at, page, set_id, n, text): the sets in the order of their trees, cut into pages, with their texts.
+    """(tree, at, page, alone, set_id, n, text): the sets in the order of their trees, cut into pages, with their texts.
 
     A page is a run of equal size class, so that its bound in shingles bounds its sets; its number is the
-    class and the run's. ``at`` is the place of the set in units of ``page_sets``.
+    class and the run's. ``at`` is the place of the set in units of ``page_sets``. ``alone``: its tree has one page.
     """
     n = F.col("n_shingles")
     members = sets.join(trees, "s").select(
@@ -126,7 +126,9 @@ def _paged(docs: DataFrame, sets: DataFrame, trees: DataFrame, threshold: int, p
     room = F.greatest(F.lit(1), F.least(F.lit(page_sets), F.floor(F.lit(PAGE_SHINGLES) / largest)))
     page = F.shiftleft(F.col("class").cast("long"), 40) + F.floor(F.col("place") / room)
     at = F.floor(F.col("place") / page_sets)
-    paged = store(placed.select("tree", at.alias("at"), page.alias("page"), "set_id", "n", "_file", "_row"), "paged")
+    cut = store(placed.select("tree", at.alias("at"), page.alias("page"), "set_id", "n", "_file", "_row"), "pages")
+    single = cut.groupBy(F.col("tree").alias("_tree")).agg((F.min("page") == F.max("page")).alias("alone"))
+    paged = store(cut.join(single, F.col("tree").eqNullSafe(F.col("_tree"))).drop("_tree"), "paged")
     return joined_at(docs, ["text"], paged, "paged-texts").drop("_file", "_row")
 
 
@@ -162,20 +164,16 @@ def _possible(pairs: DataFrame, threshold: int) -> DataFrame:
 
 
 def _page_pairs(paged: DataFrame, threshold: int, words: int) -> DataFrame:
-    """(tree, x, y): pairs of pages that may hold linked sets, by traversing the nodes above the pages.
+    """(tree, x, y): pairs of pages that may hold linked sets, by traversing the nodes above the pages of ``paged``.
 
-    A node's children are those whose place, in units of its own, it has; there are at most a few roots.
+    All of its trees have several pages. A node's children are those whose place, in units of its own, it has; there are at most a few roots.
     """
-    pages = paged.groupBy("tree").agg(F.countDistinct("page").alias("pages"), F.min("page").alias("page"))
-    counted = store(pages, "tree-sizes")
-    single = counted.where("pages = 1").select("tree", F.col("page").alias("x"), F.col("page").alias("y"))
-    large = counted.where("pages > 1").select("tree")
-    most = counted.agg(F.max("pages")).first()[0]
-    if most is None or most == 1:
-        return single
+    most = paged.groupBy("tree").agg(F.countDistinct("page").alias("pages")).agg(F.max("pages")).first()[0]
+    if most is None:
+        return paged.select("tree", F.col("page").alias("x"), F.col("page").alias("y"))
     summed = [F.expr("bitmap_or_agg(bits)").alias("bits"), F.min("least").alias("least"), F.max("most").alias("most"), F.max("excess").alias("excess")]
     up = F.shiftright("at", FANOUT_BITS)
-    signed = _signed(paged.join(large, "tree", "left_semi"), words).withColumns({"least": F.col("n"), "most": F.col("n")})
+    signed = _signed(paged, words).withColumns({"least": F.col("n"), "most": F.col("n")})
     leaves = signed.groupBy("tree", F.col("page").alias("id")).agg(*summed, F.min("at").alias("at"))
     nodes = [store(leaves.withColumn("up", up), "tree-nodes")]
     for _ in range(int(np.ceil(np.log2(most) / FANOUT_BITS)) - 1):
@@ -189,7 +187,7 @@ def _page_pairs(paged: DataFrame, threshold: int, words: int) -> DataFrame:
         parents = frontier.select("tree", F.col("x").alias("x_up"), F.col("y").alias("y_up"))
         met = parents.join(x, ["tree", "x_up"]).join(y, ["tree", "y_up"]).where("x_up <> y_up or x.id <= y.id")
         frontier = store(_possible(met, threshold), "frontier")
-    return single.unionAll(frontier)
+    return frontier
 
 
 def _levels(sets: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -261,13 +259,11 @@ def linked(left: Sequence[np.ndarray], right: Sequence[np.ndarray] | None, thres
 
 def _links(paged: DataFrame, pairs: DataFrame, threshold: int, words: int, forest: bool) -> DataFrame:
     """(a, b): linked sets of each pair of pages, or a forest of them. Trees of one page share tasks by page."""
-    alone = F.when(F.col("pages") == 1, F.lit(-1)).otherwise(F.col("tree"))
+    columns = ["tree", "page", "set_id", "text", "x", "y", "task"]
+    single = paged.where("alone").withColumns({"x": F.col("page"), "y": F.col("page"), "task": F.lit(-1).cast("long")})
     sides = pairs.select("tree", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("page"))
-    # A page is alone in its tree if it meets no other.
-    single = pairs.groupBy("tree").agg(F.max(F.greatest("x", "y")).alias("_most"), F.min(F.least("x", "y")).alias("_least"))
-    shared = single.select("tree", F.when(F.col("_most") == F.col("_least"), F.lit(1)).otherwise(F.lit(2)).alias("pages"))
-    work = sides.join(shared, "tree").select("tree", "x", "y", "page", alone.alias("task"))
-    dealt = paged.select("tree", "page", "set_id", "text").join(work, ["tree", "page"])
+    several = paged.where("not alone").join(sides, ["tree", "page"]).withColumn("task", F.col("tree"))
+    dealt = single.select(*columns).unionAll(several.select(*columns))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["tree", "page", "set_id"], ignore_index=True)
@@ -297,7 +293,7 @@ def _joined(docs: DataFrame, threshold: int, words: int, page_sets: int, forest:
     # Numbers of a stored table stay.
     sets = store(sets.withColumn("s", F.monotonically_increasing_id()), "sets")
     paged = _paged(docs, sets, store(_trees(sets, threshold), "trees"), threshold, page_sets)
-    pairs = store(_page_pairs(paged, threshold, words), "page-pairs")
+    pairs = store(_page_pairs(paged.where("not alone"), threshold, words), "page-pairs")
     return known.drop("tokens"), store(_links(paged, pairs, threshold, words, forest), "links")
 
 

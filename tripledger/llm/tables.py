@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 
 from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
@@ -12,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripledger.sources.scratch import scratch_path, store
+from tripledger.sources.settings import with_settings
 
 __all__ = ["free_name", "global_positions", "landed", "open_folder", "quoted", "rows_at", "scratch_path", "store", "table", "with_locator"]
 
@@ -85,9 +85,6 @@ def rows_at(docs: DataFrame, places: DataFrame, how: str = "left_semi") -> DataF
     return whole.join(places, ["_file", "_row"], how).select("_whole.*")
 
 
-_BLOOM = "spark.sql.optimizer.runtime.bloomFilter"
-
-
 def joined_at(docs: DataFrame, columns: Sequence[Column | str], places: DataFrame, name: str) -> DataFrame:
     """The columns of the rows of a :func:`landed` frame at the given (_file, _row), with what else ``places`` has; stored.
 
@@ -104,22 +101,10 @@ def joined_at(docs: DataFrame, columns: Sequence[Column | str], places: DataFram
         return store(found, name)
 
 
-@contextmanager
-def bloom_filtered(spark: SparkSession) -> Iterator[None]:
-    """Joins that run within it get Spark's runtime Bloom filter (of 1 MB, by its defaults) where one side is filtered and below 1 GB."""
-    wanted = {
-        f"{_BLOOM}.enabled": "true",
-        f"{_BLOOM}.applicationSideScanSizeThreshold": "0",
-        f"{_BLOOM}.creationSideThreshold": "1g",
-    }
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    try:
-        for key, value in wanted.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+def bloom_filtered(spark: SparkSession):
+    """Joins planned within get Spark's runtime Bloom filter (of 1 MB, by its defaults) where one side is filtered and below 1 GB."""
+    wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1g"}
+    return with_settings(spark, {f"spark.sql.optimizer.runtime.bloomFilter.{key}": value for key, value in wanted.items()})
 
 
 def global_positions(df: DataFrame, order: Sequence[Column | str], name: str = "position") -> DataFrame:
