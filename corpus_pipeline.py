@@ -13,6 +13,9 @@ from tripledger.llm import decontamination, exact_dedup, language, near_dedup, p
 from tripledger.llm.registry import ship
 from tripledger.llm.tables import scratch_path, table
 
+# Percent of shared shingles of five words from which documents are near duplicates.
+SIMILARITY = 80
+
 
 def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no text, or no letter in it."""
@@ -29,7 +32,7 @@ def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document with the smallest doc_id stays."""
     ship(spark)
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, SIMILARITY)
 
 
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

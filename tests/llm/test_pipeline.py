@@ -34,7 +34,7 @@ def test_run_against_plain_stages(spark):
         best[key] = min(best.get(key, (0, 1 << 60)), (-len(text), i))
     kept = {i for _, i in best.values()}
     docs = [(i, t) for i, t in docs if i in kept]
-    kept = {i for i, n, c in plain_components(docs) if n == 0 or i == c}
+    kept = {i for i, n, c in plain_components(docs, 80) if n == 0 or i == c}
     docs = [(i, t) for i, t in docs if i in kept]
     items = [words_of(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     clean = set()
