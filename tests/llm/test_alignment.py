@@ -150,3 +150,9 @@ def test_edge_rows(spark, documents):
     assert found_rows(documents) == expected
     assert found_rows(documents.withColumnsRenamed({"component": "pairs", "lang": "chunk", "source": "a.b"})) == expected
     assert found_rows(documents.limit(0)) == []
+
+
+def test_query_against_plain_alignment(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    found = sorted((tuple(r) for r in alignment.op13_pointer_jumping_alignment(spark, "/root/testdata/sf0.001").collect()), key=str)
+    assert found == plain_rows([(r["doc_id"], r["text"]) for r in docs.collect()])

@@ -1,0 +1,83 @@
+"""Shards and slots of the registered query against an order that is worked out from the inverse of the curve."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import xxhash
+
+from tripledger.llm import hilbert
+
+SF = "/root/testdata/sf0.001"
+
+
+def cell_of(index, bits, n):
+    """Coordinates of a place on the curve: Skilling's inverse transform, number by number."""
+    x = [0] * n
+    for k in range(bits * n):
+        bit = index >> (bits * n - 1 - k) & 1
+        x[k % n] = x[k % n] << 1 | bit
+    t = x[n - 1] >> 1
+    for i in range(n - 1, 0, -1):
+        x[i] ^= x[i - 1]
+    x[0] ^= t
+    q = 2
+    while q != 1 << bits:
+        p = q - 1
+        for i in range(n - 1, -1, -1):
+            if x[i] & q:
+                x[0] ^= p
+            else:
+                t = (x[0] ^ x[i]) & p
+                x[0] ^= t
+                x[i] ^= t
+        q <<= 1
+    return x
+
+
+def index_of(cell, bits):
+    """The place of a cell, digit by digit: of the parts of the cube, the one that the curve enters with that digit."""
+    n, index = len(cell), 0
+    for level in range(bits - 1, -1, -1):
+        for digit in range(1 << n):
+            found = cell_of((index << n | digit) << (n * level), bits, n)
+            if all(a >> level == b >> level for a, b in zip(found, cell, strict=True)):
+                index = index << n | digit
+                break
+    return index
+
+
+def test_the_inverse_is_a_curve():
+    cells = [tuple(cell_of(i, 3, 3)) for i in range(512)]
+    assert len(set(cells)) == 512
+    assert all(sum(abs(p - q) for p, q in zip(a, b, strict=True)) == 1 for a, b in zip(cells, cells[1:]))
+    assert [index_of(c, 3) for c in cells] == list(range(512))
+    assert hilbert.hilbert_index(np.array(cells), 3).tolist() == list(range(512))
+
+
+def test_query_against_the_inverse(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source", "lang").collect()
+    sizes = {r["doc_id"]: len((r["text"] or "").encode()) + 8 for r in docs}
+    frame = spark.createDataFrame([(s,) for s in sizes.values()], "size long")
+    top = (1 << hilbert.BITS) - 1
+    cuts = sorted(set(frame.approxQuantile("size", [i / top for i in range(1, top)], hilbert.QUANTILE_ERROR)))
+
+    def hashed(value):
+        if value is None:
+            return 0
+        number = xxhash.xxh64_intdigest(value.encode(), 42)
+        return 1 + (number - (number >> 63 << 64)) % top
+
+    places = {}
+    for r in docs:
+        cell = [hashed(r["source"]), hashed(r["lang"]), 1 + sum(sizes[r["doc_id"]] > c for c in cuts)]
+        crc = zlib.crc32((r["text"] or "").encode())
+        places[r["doc_id"]] = (index_of(cell, hilbert.BITS), sizes[r["doc_id"]], crc, r["doc_id"])
+    ordered = sorted(places, key=places.get)
+    n, expected = len(ordered), {}
+    for k, doc_id in enumerate(ordered):
+        shard = k * hilbert.SHARDS // n
+        expected[doc_id] = (shard, k - -(-shard * n // hilbert.SHARDS))
+    found = {r["doc_id"]: (r["shard"], r["slot"]) for r in hilbert.op4_hilbert_shards(spark, SF).collect()}
+    assert found == expected
