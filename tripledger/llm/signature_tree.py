@@ -107,7 +107,10 @@ def _trees(sets: DataFrame, threshold: int) -> DataFrame:
     prefix = store(first.select("s", F.explode(F.expr("slice(shared, 1, _take)")).alias("x")).select("s", "x.token"), "prefixes")
     roots = prefix.groupBy(F.col("token").alias("_token")).agg(F.min("s").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # Null-safe keys have a shuffle of their own on either side, so a frequent shingle is split at run time.
-    edges = prefix.join(roots, F.col("token").eqNullSafe(F.col("_token"))).where("s <> least").select(F.col("s").alias("a"), F.col("least").alias("b"))
+    met = prefix.join(roots, F.col("token").eqNullSafe(F.col("_token"))).where("s <> least")
+    # A set and all it meets are tied to the smallest of them: few edges, as sets that are alike meet the same ones.
+    around = met.groupBy("s").agg(F.min("least").alias("b"), F.collect_set("least").alias("others"))
+    edges = around.select(F.explode(F.array_union(F.array("s"), "others")).alias("a"), "b")
     return connected_components(edges).select(F.col("node").alias("s"), F.col("component").alias("tree"))
 
 
