@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tripledger.llm.components import connected_components
 from tripledger.llm.shingles import WORDS, groups_sql, shingle_sets
-from tripledger.llm.tables import landed, rows_at, store, table, with_locator
+from tripledger.llm.tables import landed, rows_at, small_batches, store, table, with_locator
 
 # 100 * intersection >= THRESHOLD * union.
 THRESHOLD = 85
@@ -235,11 +235,13 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, block: int = BL
     component: a component with no other doc_id has none, and its rows are kept.
     """
     docs = landed(docs)
-    sketches = store(sketched(docs), "sketches")
+    with small_batches(docs.sparkSession):
+        sketches = store(sketched(docs), "sketches")
     clusters = store(_clusters(sketches), "clusters")
     sizes = sketches.where("node is not null").groupBy("node").agg(F.min("n_shingles").alias("n_shingles"))
     blocks = store(_blocks(clusters, sizes, block, BLOCK_SHINGLES), "blocks")
-    links = store(_linked(docs, sketches, blocks, threshold), "links")
+    with small_batches(docs.sparkSession):
+        links = store(_linked(docs, sketches, blocks, threshold), "links")
     groups = connected_components(links)
     named = (
         sketches.where("node is not null")

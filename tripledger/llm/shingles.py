@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -10,7 +10,7 @@ import numpy as np
 WORDS = 5
 # Odd factors of the polynomial hashes.
 BYTE_FACTOR, WORD_FACTOR = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -38,17 +38,22 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def word_hashes(texts: Sequence[str | None]) -> Iterator[np.ndarray]:
-    """Per text, the hashes of its words: runs of bytes other than ASCII white space, A-Z in lower case."""
-    low = 0
-    data = [(text or "").encode("utf-8", "surrogatepass") for text in texts]
-    while low < len(data):
-        high, size = low, 0
-        while high < len(data) and (high == low or size + len(data[high]) < _CHUNK):
-            size += len(data[high]) + 1
-            high += 1
-        yield from _hashed(data[low:high])
-        low = high
+def word_hashes(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+    """Per text, the hashes of its words: runs of bytes other than ASCII white space, A-Z in lower case.
+
+    Texts are encoded and hashed some at a time, as they are asked for.
+    """
+    data: list[bytes] = []
+    size = 0
+    for text in texts:
+        one = (text or "").encode("utf-8", "surrogatepass")
+        if data and size + len(one) >= _CHUNK:
+            yield from _hashed(data)
+            data, size = [], 0
+        data.append(one)
+        size += len(one) + 1
+    if data:
+        yield from _hashed(data)
 
 
 def _hashed(data: list[bytes]) -> Iterator[np.ndarray]:
@@ -77,7 +82,7 @@ def windows(words: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
-def shingle_sets(texts: Sequence[str | None], n: int = WORDS) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[str | None], n: int = WORDS) -> Iterator[np.ndarray]:
     """Per text, the sorted hashes of its distinct shingles."""
     for words in word_hashes(texts):
         yield np.unique(windows(words, n))

@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from tripledger.sources.scratch import scratch_path, store
 from tripledger.sources.settings import with_settings
 
-__all__ = ["free_name", "global_positions", "landed", "open_folder", "quoted", "rows_at", "scratch_path", "store", "table", "with_locator"]
+__all__ = ["free_name", "global_positions", "landed", "open_folder", "quoted", "rows_at", "scratch_path", "small_batches", "store", "table", "with_locator"]
+
+
+# Rows and bytes that a Python worker gets at once; a longer text is a batch of its own.
+BATCH_ROWS, BATCH_BYTES = 1000, "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,6 +111,16 @@ def bloom_filtered(spark: SparkSession):
     return with_settings(spark, {f"spark.sql.optimizer.runtime.bloomFilter.{key}": value for key, value in wanted.items()})
 
 
+def small_batches(spark: SparkSession):
+    """Within it, Python workers get texts in batches of some MB instead of 10,000 rows: plan and run the work inside.
+
+    A worker and its task hold a batch several times over, as rows, Arrow buffers, strings and results.
+    """
+    return with_settings(
+        spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS), "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+    )
+
+
 def global_positions(df: DataFrame, order: Sequence[Column | str], name: str = "position") -> DataFrame:
     """The rows with their place 0, 1, … in the given order, which should be total.
 
