@@ -17,7 +17,7 @@ from tripledger.operators.kept_totals import add_load, kept_totals
 from tripledger.operators.kept_profile import RANK_ERROR, add_load_profile, kept_profile
 from tripledger.plans.catalog import QUESTIONS
 from tripledger.schema import PADDED_FARE_SCHEMA
-from tripledger.sources import materialize, read_csv, write_csv
+from tripledger.sources import bucketed, materialize, read_csv, write_csv
 from tripledger.sources.arrivals import add_arrivals
 from tripledger.sources.bucketed import co_locate, co_located, even_keys, open_bucketed
 from tripledger.sources.csv_files import rejected_cells
@@ -75,6 +75,22 @@ def test_a_key_too_large_for_a_bucket_stays_out(spark, tables):
     assert again.count() == near_fare.count() and again.schema == near_fare.schema
 
 
+def test_buckets_grow_with_the_rows(spark, tables, monkeypatch):
+    """A bucket is one task's, so larger tables have more of them; a key larger than such a bucket stays out."""
+    (fare, trip), _, _ = tables
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 500)
+    near_fare, near_trip = co_locate(fare, trip, scratch_path(spark, "grown"), "grown", 4)
+    rows = max(fare.count(), trip.count())
+    for near, whole in ((near_fare, fare), (near_trip, trip)):
+        assert len(near.inputFiles()) == -(-rows // 500) > 4 and sorted(map(repr, near.collect())) == sorted(map(repr, whole.collect()))
+        assert max(r["count"] for r in near.groupBy(F.input_file_name()).count().collect()) <= 4 * 500
+    with co_located(spark):
+        assert sorted(rows_of(QUESTIONS["driver_of_each_day"](near_fare, near_trip))) == sorted(rows_of(QUESTIONS["driver_of_each_day"](fare, trip)))
+    often = fare.withColumns({"hack_license": F.when(F.rand(1) < 0.45, "h").otherwise(F.col("hack_license")), "pickup_datetime": F.lit(None).cast("timestamp_ntz")})
+    assert even_keys(often, ["hack_license", "pickup_datetime"], 4)
+    assert co_locate(often, trip, scratch_path(spark, "often"), "often", 4) == (often, trip)
+
+
 def arrivals(seed):
     draw = random.Random(seed)
     day = dt.datetime(2013, 1, 1)

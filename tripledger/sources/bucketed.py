@@ -14,12 +14,30 @@ from tripledger.sources.settings import with_settings
 DRIVER_PICKUP = ("hack_license", "pickup_datetime")
 # Rows of one key, in units of a bucket's share, above which buckets would leave it to one task.
 LARGEST = 4.0
+# Rows of a bucket; a join takes a bucket of either table in one task.
+BUCKET_ROWS = 250_000
+# The most that Spark takes by default.
+MAX_BUCKETS = 100_000
+
+
+def _largest_key(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """The rows of the most frequent key (null included), and all rows."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+    return counts["most"] or 0, counts["rows"] or 0
+
+
+def _even(most: int, rows: int, buckets: int, largest: float = LARGEST) -> bool:
+    return not rows or most <= max(1.0, largest * rows / buckets)
 
 
 def even_keys(df: DataFrame, keys: Sequence[str], buckets: int, largest: float = LARGEST) -> bool:
     """Whether no key (null included) has more than ``largest`` times the rows of an even bucket."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
-    return not counts["rows"] or counts["most"] <= max(1.0, largest * counts["rows"] / buckets)
+    return _even(*_largest_key(df, keys), buckets, largest)
+
+
+def enough_buckets(rows: int, least: int) -> int:
+    """As many buckets as leave each about BUCKET_ROWS rows at most, and no fewer than ``least``."""
+    return max(least, min(-(-rows // BUCKET_ROWS), MAX_BUCKETS))
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int, mode: str = "errorifexists") -> DataFrame:
@@ -44,11 +62,17 @@ def co_locate(
 ) -> tuple[DataFrame, DataFrame]:
     """Copies of both tables in equal buckets, as tables ``<name>_fare`` and ``<name>_trip`` below the folder.
 
-    A key with very many rows can't be split within a bucket; where a table has one, both are returned as
-    they are, and joins shuffle and split it at run time. Ask questions of the copies within :func:`co_located`.
+    ``buckets`` is their least number: as a bucket is one task's, there are more where the larger table would
+    have more than BUCKET_ROWS rows in each. A key with very many rows can't be split within a bucket; where a
+    table has one, both are returned as they are, and joins shuffle and split it at run time. Ask questions of
+    the copies within :func:`co_located`.
     """
-    if not all(even_keys(df, keys, buckets) for df in (fare, trip)):
+    known = [_largest_key(df, keys) for df in (fare, trip)]
+    larger = max(rows for _, rows in known)
+    enough = enough_buckets(larger, buckets)
+    if not all(_even(most, rows, buckets) and _even(most, larger, enough) for most, rows in known):
         return fare, trip
+    buckets = enough
     return tuple(write_bucketed(df, f"{name}_{side}", f"{folder}/{side}", keys, buckets) for df, side in ((fare, "fare"), (trip, "trip")))
 
 
