@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from samples import comparable, fare_frame, fare_rows, rows_of, trip_frame, trip_rows
 
 from tripledger.functions import day_type, exact_sum, in_days, total, weekday_name, weekday_number
-from tripledger.operators import extremes
+from tripledger.operators import concurrency, extremes
 from tripledger.operators.cleaning import clean, strip_column_names
 from tripledger.operators.concurrency import peak_concurrency
 from tripledger.operators.extremes import first_per_group, max_per_group, ranked_in_group, top_values_per_group
@@ -211,6 +212,17 @@ def test_peak_concurrency_equals_one_running_count(spark, kind):
     assert comparable(rows_of(peak_concurrency(df, "s", "e", "n"))) == comparable(rows_of(one_task_peaks(df)))
 
 
+def test_chains_of_peak_concurrency_get_tasks_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(concurrency, "TASK_ROWS", 20)
+    base = dt.datetime(2013, 3, 9)
+    rows = [(base + dt.timedelta(hours=5 * i), base + dt.timedelta(hours=5 * i, minutes=i % 500)) for i in range(200)]
+    df = spark.createDataFrame(rows, "s timestamp, e timestamp")
+    peaks = peak_concurrency(df, "s", "e", "n")
+    plan = peaks._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"hashpartitioning\((?:_second|day)#\d+, 10\)", plan)) == 2
+    assert comparable(rows_of(peaks)) == comparable(rows_of(one_task_peaks(df)))
+
+
 def test_peak_concurrency_of_touching_and_nested_intervals(spark):
     at = lambda hour: dt.datetime(2013, 1, 1) + dt.timedelta(hours=hour)
     rows = [(at(1), at(2)), (at(2), at(3)), (at(2), at(30)), (at(2.5), at(2.75)), (at(26), at(27)), (at(4), at(4))]
