@@ -17,7 +17,8 @@ from tripledger.operators.kept_totals import add_load, kept_totals
 from tripledger.operators.kept_profile import RANK_ERROR, add_load_profile, kept_profile
 from tripledger.plans.catalog import QUESTIONS
 from tripledger.schema import PADDED_FARE_SCHEMA
-from tripledger.sources import bucketed, materialize, read_csv, write_csv
+from tripledger.sources import arrivals as arriving
+from tripledger.sources import bucketed, materialize, read_csv, write_csv, write_parquet
 from tripledger.sources.arrivals import add_arrivals
 from tripledger.sources.bucketed import co_locate, co_located, even_keys, open_bucketed
 from tripledger.sources.csv_files import rejected_cells
@@ -112,6 +113,22 @@ def test_arrivals_leave_what_one_cleaning_does(spark, how):
     assert add_arrivals(loads[0].limit(0), path, ["t"], how=how).count() == whole.count()
 
 
+def test_arrivals_are_shuffled_with_the_copy_once(spark, monkeypatch):
+    """Arrivals meet each other and the copy in one shuffle of whole rows, without a join; another deals out the new rows. Nothing else is stored."""
+    plans = []
+
+    def planned(df, path, mode):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        write_parquet(df, path, mode=mode)
+
+    path = scratch_path(spark, "copy")
+    materialize(spark.createDataFrame(arrivals(1), "t timestamp_ntz, k string, x double"), path, cluster_by=["t"])
+    monkeypatch.setattr(arriving, "write_parquet", planned)
+    add_arrivals(spark.createDataFrame(arrivals(2), "t timestamp_ntz, k string, x double"), path, ["t"])
+    assert len(plans) == 1 and "Join" not in plans[0]
+    assert plans[0].count("hashpartitioning") == 1 and plans[0].count("rangepartitioning") == 1
+
+
 def test_arrivals_read_only_their_range(spark):
     day = dt.datetime(2013, 1, 1)
     path = scratch_path(spark, "copy")
