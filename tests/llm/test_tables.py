@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from tripledger.llm import tables
 from tripledger.llm.decontamination import keep_clean
 from tripledger.llm.exact_dedup import exact_dedup, keep_first
 from tripledger.llm.hilbert import shard_rows
 from tripledger.llm.language import keep_identified
 from tripledger.llm.near_dedup import keep_one
 from tripledger.llm.tables import free_name, landed, scratch_path, store
+from tripledger.sources.settings import with_settings
 
 WORDS = "one two three four five six seven eight nine ten eleven twelve"
 OTHER = "red orange yellow green blue indigo violet black white grey brown pink"
@@ -79,3 +83,25 @@ def test_names_that_clash(spark):
     found = [(r["curve"], r["shard_1"], r["slot_1"]) for r in sharded.collect()]
     assert sorted((s, k) for _, s, k in found) == [(0, 0), (0, 1), (1, 0), (1, 1)] and all(c.startswith("x") for c, _, _ in found)
     assert free_name("a", ["A", "a_1"]) == "a_2"
+
+
+def test_the_filter_of_places_has_room_for_them(spark, monkeypatch):
+    """Beyond a million places the Bloom filter grows with them, a byte each, up to Spark's bound; as before for few."""
+    docs = tables.store(spark.range(0, 1000, 1, 2).selectExpr("id AS doc_id", "repeat('x', 100) AS text"), "docs")
+    found = tables.with_locator(docs, ["doc_id"]).where("doc_id % 10 = 0").select("_file", "_row")
+    asked, store = [], tables.store
+
+    def planned(df, name):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        asked.append(sorted({tuple(map(int, m)) for m in re.findall(r"bloom_filter_agg\(.*?, (\d+), (\d+), 0, 0\)", plan)}))
+        return store(df, name)
+
+    monkeypatch.setattr(tables, "store", planned)
+    with with_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        for more in (0, 1_500_000):
+            places = store(found.unionAll(spark.range(more).selectExpr("'nowhere' AS _file", "id AS _row")), "places")
+            assert tables.joined_at(docs, ["doc_id"], places, "texts").agg(F.sum("doc_id")).first()[0] == sum(range(0, 1000, 10))
+    assert asked == [[(1_000_000, 8_388_608)], [(1_500_100, 8 * 1_500_100)]]
+    for keys in (2**22, 2**23, 2**30):
+        with tables.bloom_filtered(spark, keys):
+            assert int(spark.conf.get("spark.sql.optimizer.runtime.bloomFilter.numBits")) == 8 * min(keys, 2**23)

@@ -93,11 +93,9 @@ def _trees(sets: DataFrame, threshold: int) -> DataFrame:
     tokens = sets.select("s", F.explode("tokens").alias("token"))
     shared = store(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared-tokens")
     late = (F.col("token") < 0) | (F.col("token") >= F.lit(int(POOL * 2**64)))
-    by_set = (
-        tokens.join(shared, "token")
-        .groupBy("s")
-        .agg(F.array_sort(F.collect_list(F.struct(late.alias("late"), "df", "token"))).alias("shared"))
-    )
+    # Shuffled as plain rows: lists of the few that meet in one task take twice the room.
+    met = tokens.join(shared, "token").select("s", "token", "df").repartition("s")
+    by_set = met.groupBy("s").agg(F.array_sort(F.collect_list(F.struct(late.alias("late"), "df", "token"))).alias("shared"))
     # What is not shared comes first in the order, but links nothing.
     pooled = F.expr("size(filter(tokens, t -> t >= 0 and t < pool))")
     known = sets.withColumn("pool", F.lit(int(POOL * 2**64))).select("s", F.col("n_shingles").alias("n"), pooled.alias("n_pool"))
@@ -117,13 +115,12 @@ def _trees(sets: DataFrame, threshold: int) -> DataFrame:
 def _paged(docs: DataFrame, sets: DataFrame, trees: DataFrame, threshold: int, page_sets: int) -> DataFrame:
     """(tree, at, page, alone, set_id, n, text): the sets in the order of their trees, cut into pages, with their texts.
 
-    A page is a run of equal size class, so that its bound in shingles bounds its sets; its number is the
+    Of ``sets`` what is read here is narrow, without ``tokens``: all of it may be shuffled to meet the trees. A page is a run of equal size class, so that its bound in shingles bounds its sets; its number is the
     class and the run's. ``at`` is the place of the set in units of ``page_sets``. ``alone``: its tree has one page.
     """
     n = F.col("n_shingles")
-    members = sets.join(trees, "s").select(
-        "tree", "s", "set_id", n.alias("n"), _size_class(n, threshold).alias("class"), F.element_at("tokens", 1).alias("first"), "at.*"
-    )
+    narrow = sets.select("s", "set_id", n.alias("n"), _size_class(n, threshold).alias("class"), "first", "at.*")
+    members = narrow.join(trees, "s")
     placed = global_positions(members, ["tree", "class", "first", "s"], "place")
     largest = F.pow(F.lit(100 / threshold), F.col("class") + 1)
     room = F.greatest(F.lit(1), F.least(F.lit(page_sets), F.floor(F.lit(PAGE_SHINGLES) / largest)))
@@ -295,7 +292,7 @@ def _joined(docs: DataFrame, threshold: int, words: int, page_sets: int, forest:
             F.min(F.struct("_file", "_row")).alias("at"), F.min("n_shingles").alias("n_shingles"), F.min("tokens").alias("tokens")
         )
         # Numbers of a stored table stay.
-        sets = store(sets.withColumn("s", F.monotonically_increasing_id()), "sets")
+        sets = store(sets.withColumns({"s": F.monotonically_increasing_id(), "first": F.element_at("tokens", 1)}), "sets")
         paged = _paged(docs, sets, store(_trees(sets, threshold), "trees"), threshold, page_sets)
         pairs = store(_page_pairs(paged.where("not alone"), threshold, words), "page-pairs")
         return known.drop("tokens"), store(_links(paged, pairs, threshold, words, forest), "links")

@@ -18,6 +18,8 @@ __all__ = ["free_name", "global_positions", "landed", "open_folder", "quoted", "
 
 # Rows and bytes that a Python worker gets at once; a longer text is a batch of its own.
 BATCH_ROWS, BATCH_BYTES = 1000, "4m"
+# Keys for which Spark's default Bloom filter has a byte each, and those for which the largest one has.
+BLOOM_KEYS = (1 << 20, 1 << 23)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -93,7 +95,7 @@ def joined_at(docs: DataFrame, columns: Sequence[Column | str], places: DataFram
     """The columns of the rows of a :func:`landed` frame at the given (_file, _row), with what else ``places`` has; stored.
 
     For places that are few beside the rows: Spark's runtime Bloom filter keeps most other rows out of the shuffle.
-    It is asked for whatever the size of the scan; beyond some millions of places it fills up, and rows stay right.
+    It is asked for whatever the size of the scan, with room for all ``places``, which are counted: keep them stored.
     """
     key = F.xxhash64("_file", "_row").alias("_place")
     rows = with_locator(docs, columns).withColumn("_place", key)
@@ -101,13 +103,20 @@ def joined_at(docs: DataFrame, columns: Sequence[Column | str], places: DataFram
     few = places.withColumn("_place", key).where("_row >= 0").withColumnsRenamed({"_file": "_file_of", "_row": "_row_of"})
     same = (F.col("_file") == F.col("_file_of")) & (F.col("_row") == F.col("_row_of"))
     found = rows.join(few, "_place").where(same).drop("_place", "_file_of", "_row_of")
-    with bloom_filtered(docs.sparkSession):
+    with bloom_filtered(docs.sparkSession, places.count()):
         return store(found, name)
 
 
-def bloom_filtered(spark: SparkSession):
-    """Joins planned within get Spark's runtime Bloom filter (of 1 MB, by its defaults) where one side is filtered and below 1 GB."""
+def bloom_filtered(spark: SparkSession, keys: int = 0):
+    """Joins planned within get Spark's runtime Bloom filter where one side is filtered and below 1 GB.
+
+    It has 1 MB by Spark's defaults, and a byte for each of ``keys`` beyond a million: 1 of 40 other rows then passes.
+    From 8 MB on (Spark's bound is as much) it fills up: more other rows pass, and results stay right.
+    """
     wanted = {"enabled": "true", "applicationSideScanSizeThreshold": "0", "creationSideThreshold": "1g"}
+    if keys > BLOOM_KEYS[0]:
+        keys = min(keys, BLOOM_KEYS[1])
+        wanted |= {"expectedNumItems": str(keys), "maxNumItems": str(keys), "numBits": str(8 * keys), "maxNumBits": str(8 * keys)}
     return with_settings(spark, {f"spark.sql.optimizer.runtime.bloomFilter.{key}": value for key, value in wanted.items()})
 
 
