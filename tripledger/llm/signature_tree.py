@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tripledger.llm.components import connected_components
 from tripledger.llm.shingles import groups_sql, shingle_sets
-from tripledger.llm.tables import global_positions, joined_at, landed, small_batches, store, table, with_locator
+from tripledger.llm.tables import global_positions, joined_at, landed, small_batches, store, stored_within, table, with_locator
 
 # Words of a shingle; 100 * intersection >= THRESHOLD * union.
 WORDS, THRESHOLD = 4, 85
@@ -287,15 +287,16 @@ def _links(paged: DataFrame, pairs: DataFrame, threshold: int, words: int, fores
 def _joined(docs: DataFrame, threshold: int, words: int, page_sets: int, forest: bool) -> tuple[DataFrame, DataFrame]:
     """The described documents, and the linked sets (a, b)."""
     with small_batches(docs.sparkSession):
-        known = store(described(docs, threshold, words), "described")
-        sets = known.where("set_id is not null").groupBy("set_id").agg(
-            F.min(F.struct("_file", "_row")).alias("at"), F.min("n_shingles").alias("n_shingles"), F.min("tokens").alias("tokens")
-        )
-        # Numbers of a stored table stay.
-        sets = store(sets.withColumns({"s": F.monotonically_increasing_id(), "first": F.element_at("tokens", 1)}), "sets")
+        with stored_within(described(docs, threshold, words), "described-tokens") as full:
+            sets = full.where("set_id is not null").groupBy("set_id").agg(
+                F.min(F.struct("_file", "_row")).alias("at"), F.min("n_shingles").alias("n_shingles"), F.min("tokens").alias("tokens")
+            )
+            # Numbers of a stored table stay. From here on tokens are kept once, by set.
+            sets = store(sets.withColumns({"s": F.monotonically_increasing_id(), "first": F.element_at("tokens", 1)}), "sets")
+            known = store(full.drop("tokens"), "described")
         paged = _paged(docs, sets, store(_trees(sets, threshold), "trees"), threshold, page_sets)
         pairs = store(_page_pairs(paged.where("not alone"), threshold, words), "page-pairs")
-        return known.drop("tokens"), store(_links(paged, pairs, threshold, words, forest), "links")
+        return known, store(_links(paged, pairs, threshold, words, forest), "links")
 
 
 def similar_sets(docs: DataFrame, threshold: int = THRESHOLD, words: int = WORDS, page_sets: int = PAGE_SETS) -> tuple[DataFrame, DataFrame]:

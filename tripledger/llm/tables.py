@@ -10,10 +10,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripledger.sources.scratch import scratch_path, store
+from tripledger.sources.scratch import scratch_path, store, stored_within
 from tripledger.sources.settings import with_settings
 
-__all__ = ["free_name", "global_positions", "landed", "open_folder", "quoted", "rows_at", "scratch_path", "small_batches", "store", "table", "with_locator"]
+__all__ = ["free_name", "global_positions", "landed", "open_folder", "quoted", "rows_at", "scratch_path", "small_batches", "store", "stored_within", "table", "with_locator"]
 
 
 # Rows and bytes that a Python worker gets at once; a longer text is a batch of its own.

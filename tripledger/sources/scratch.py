@@ -36,9 +36,13 @@ def scratch_owner(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _owner.reset(token)
-        for path in paths:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        _remove(spark, paths)
+
+
+def _remove(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -47,6 +51,19 @@ def store(df: DataFrame, name: str) -> DataFrame:
     This is a job of its own, run when the frame is made. The result outlives any executor, and Spark
     knows its size when planning what follows. See :func:`scratch_owner` for how long it is kept.
     """
+    return _stored(df, scratch_path(df.sparkSession, name))
+
+
+@contextmanager
+def stored_within(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """What :func:`store` gives, removed at the end of the block: what is used later must not read it any more."""
     path = scratch_path(df.sparkSession, name)
+    try:
+        yield _stored(df, path)
+    finally:
+        _remove(df.sparkSession, [path])
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
