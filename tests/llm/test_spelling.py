@@ -7,6 +7,7 @@ from collections import Counter
 
 import pytest
 
+from tripledger.llm import spelling
 from tripledger.llm.spelling import neighbours, variants, word_counts
 
 
@@ -74,6 +75,31 @@ def test_long_and_odd_words(spark):
     assert neighbours(frame(spark, words).limit(0)).count() == 0
 
 
+def test_few_states_step_aside(spark, monkeypatch):
+    kept = []
+
+    def counted(df, name):
+        table = store(df, name)
+        if name == "frontier":
+            kept.append(table.where("near is null and position > length(word) div 2").count())
+        return table
+
+    store = spelling.store
+    monkeypatch.setattr(spelling, "store", counted)
+    draw = random.Random(11)
+    # Nodes with many children up to half of the words and beyond, and few neighbours.
+    words = {"".join(draw.choice("abcdefgh") for _ in range(draw.randint(7, 8))) for _ in range(6000)}
+    found = [(r["a"], r["b"]) for r in neighbours(frame(spark, words), 7).collect()]
+    by_cut = {}
+    for word in words:
+        for i in range(len(word)):
+            by_cut.setdefault((word[:i], word[i + 1 :]), set()).add(word)
+    pairs = {(a, b) for group in by_cut.values() for a in group for b in group if a < b}
+    pairs |= {tuple(sorted((a, w))) for w in words for i in range(len(w)) if (a := w[:i] + w[i + 1 :]) in words}
+    assert sorted(found) == sorted(pairs)
+    assert sum(kept) < 2 * len(words)
+
+
 def test_forms_lead_to_roots(spark):
     counts = {"abcdefg": 1000, "abcdefgh": 50, "abcdefghi": 5, "abcdefh": 100, "abcdefi": 101, "zzzzzzzz": 3, "abcdxfg": 1000, "abcdyfg": 4}
     found = variants(spark.createDataFrame(list(counts.items()), "word string, n long"))

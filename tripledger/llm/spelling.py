@@ -2,18 +2,21 @@
 
 The trie is a table of edges, made anew for each level from the words that still share a node: an edge
 leads from a node (a prefix) over its next character, and over all that the words below have in common
-after it, to a child. A state (word, position, node, edits) says that the first ``position`` characters
-of the word spell the node with so many edits. States without an edit walk down their own path; where
-the path branches they step aside, with one character replaced or inserted, and go on as states with one
-edit, which only follow edges that spell the rest of the word. Those that end in a leaf are neighbours.
+after it, to a child. States without an edit (word, position, node) walk down their own path. Where it
+branches they step aside, with one character replaced or inserted, and go on as states with one edit,
+which only follow edges that spell the rest of the word. Those that end in a leaf are neighbours.
 
 Of two words one edit apart, either the first or the last half of the characters agrees. So states start
 side by side in the trie of the words and the trie of the reversed words, and step aside only beyond half
-of their word, where few words are below a node. Each level is two joins, on the node.
+of their word, where few words are below a node. They step over two edges at once (one, if it leads to a
+leaf) and are joined on the node and the character after the edit; other states on the node and their next
+character: a word only meets the paths beside its own that go on as it does.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,83 +62,104 @@ _COMMON = """
 
 
 def _edges(walking: DataFrame) -> DataFrame:
-    """(side, node, char, child, label, leaf): the edges below the nodes of states without an edit.
+    """(side, node, char, child, label, leaf, lengths): the edges below the nodes of states without an edit.
 
     The smallest and the largest word over an edge have in common what all words over it have in common.
-    An edge over which one word goes leads to its leaf. ``label`` is what follows ``char``.
+    An edge over which one word goes leads to its leaf. ``label`` is what follows ``char``; ``lengths`` has
+    the bits of the lengths modulo 64 of the words over the edge.
     """
     below = walking.groupBy("side", "node", F.expr("substr(word, position + 1, 1)").alias("char")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("word").alias("least"), F.max("word").alias("most")
+        F.count(F.lit(1)).alias("n"),
+        F.min("word").alias("least"),
+        F.max("word").alias("most"),
+        F.expr("bit_or(shiftleft(1L, length(word) % 64))").alias("lengths"),
     )
     child = F.expr(f"if(n = 1, least, left(least, {_COMMON}))")
-    edges = below.select("side", "node", "char", child.alias("child"), (F.col("n") == 1).alias("leaf"))
+    edges = below.select("side", "node", "char", child.alias("child"), (F.col("n") == 1).alias("leaf"), "lengths")
     return edges.withColumn("label", F.expr("substr(child, length(node) + 2)"))
 
 
-def _spells(position: str) -> str:
-    """Whether the word goes on as the label after so many characters; at a leaf it must end with it."""
-    return f"(if(leaf, substr(word, {position} + 1), substr(word, {position} + 1, length(label))) = label)"
-
-
-# Where states go over an edge: as (position, edits), with a condition each.
-_OWN = "char = substr(word, position + 1, 1)"
-_MOVES = {
-    0: [
-        (f"{_OWN} and not leaf", "length(child)", 0),
-        # Beyond half of the word. Pairs are found from the side of the smaller character, or of the shorter word.
-        (f"position >= length(word) div 2 and char > substr(word, position + 1, 1) and position < length(word) and {_spells('position + 1')}",
-         "position + 1 + length(label)", 1),
-        (f"position >= length(word) div 2 and char <> substr(word, position + 1, 1) and char <> '' and {_spells('position')}",
-         "position + length(label)", 1),
-    ],
-    1: [(_spells("position + 1"), "position + 1 + length(label)", 1)],
-}
-
-
-def _moved(states: DataFrame, edges: DataFrame, edits: int) -> DataFrame:
-    """The states after one edge, with the leaf's word as ``near`` where they have come to one."""
-    keys = ["side", "node"]
-    if edits:
-        states, keys = states.withColumn("char", F.expr("substr(word, position + 1, 1)")), [*keys, "char"]
-    moves = _MOVES[edits]
-    possible = F.expr(" or ".join(f"({condition})" for condition, _, _ in moves))
-    steps = F.array_compact(F.array(*[
-        F.when(F.expr(condition), F.struct(F.expr(position).cast("int").alias("position"), F.lit(e).alias("edits")))
-        for condition, position, e in moves
-    ]))
-    found = states.drop("edits", "near").join(edges, keys).where(possible)
-    return found.select("side", "word", "child", "leaf", F.explode(steps).alias("step")).select(
-        "side",
-        "word",
-        "step.position",
-        F.col("child").alias("node"),
-        "step.edits",
-        F.when(F.col("leaf"), F.col("child")).alias("near"),
-    )
+def _paths(edges: DataFrame, below: DataFrame) -> DataFrame:
+    """(side, node, char, rest, child, leaf, lengths): the ways over two edges, or over one to a leaf.
+
+    ``rest`` is what follows ``char``. Words that end at the node have no path.
+    """
+    first = edges.where("char <> ''").select("side", "node", "char", "label", "child", "leaf", "lengths")
+    second = below.select("side", F.col("node").alias("child"), F.concat("char", "label").alias("more"), F.col("child").alias("end"), F.col("leaf").alias("ends"), F.col("lengths").alias("end_lengths"))
+    one = first.where("leaf").select("side", "node", "char", F.col("label").alias("rest"), "child", "leaf", "lengths")
+    two = first.where("not leaf").join(second, ["side", "child"])
+    return one.unionAll(two.select("side", "node", "char", F.concat("label", "more"), "end", "ends", "end_lengths"))
+
+
+def _walked(walking: DataFrame, edges: DataFrame) -> DataFrame:
+    """States without an edit after the edge of their own word, where other words share it."""
+    keyed = walking.select("side", "node", F.expr("substr(word, position + 1, 1)").alias("char"), "word")
+    shared = edges.where("not leaf").select("side", "node", "char", "child")
+    return keyed.join(shared, ["side", "node", "char"]).select("side", "word", F.length("child").alias("position"), F.col("child").alias("node"))
+
+
+# From where on states step aside. The first and the last half of a word, or of a longer one with a character more,
+# make up the whole: what two words have in common at both ends reaches one of both bounds.
+_REPLACES, _INSERTS = "(length(word) + side) div 2", "(length(word) + 1 + side) div 2"
+
+
+def _stepped(walking: DataFrame, paths: DataFrame) -> DataFrame:
+    """States with an edit: those without one, beyond half of their word, over the paths beside their own.
+
+    They are joined by the character after the edit, in the word and on the path. Pairs are found from the
+    side of the smaller character, or of the shorter word.
+    """
+    own = F.expr("substr(word, position + 1, 1)").alias("own")
+    replaced = walking.where(f"position >= {_REPLACES} and position < length(word)").select(
+        "side", "node", F.expr("substr(word, position + 2, 1)").alias("next"), "word", own, F.expr("position + 1").alias("after"), F.length("word").alias("length")
+    )
+    inserted = walking.where(f"position >= {_INSERTS}").select(
+        "side", "node", own.alias("next"), "word", own, F.col("position").alias("after"), F.expr("length(word) + 1").alias("length")
+    )
+    beside = F.expr("if(length = length(word), char > own, char <> own)")
+    met = replaced.unionAll(inserted).join(paths.withColumn("next", F.left("rest", F.lit(1))), ["side", "node", "next"])
+    return _at_end(met.where(beside))
+
+
+def _went_on(aside: DataFrame, edges: DataFrame) -> DataFrame:
+    """States with an edit after the next edge that spells on their word."""
+    keyed = aside.select("side", "node", F.expr("substr(word, position + 1, 1)").alias("char"), "word", F.expr("position + 1").alias("after"), F.expr("length(word) + length(node) - position").alias("length"))
+    return _at_end(keyed.join(edges.withColumnRenamed("label", "rest"), ["side", "node", "char"]))
+
+
+def _at_end(met: DataFrame) -> DataFrame:
+    """(side, word, position, node, near): states at the child, if the word goes on with ``rest`` after ``after`` characters.
+
+    At a leaf it must end so, and the leaf's word is ``near``; elsewhere a word of the ``length`` sought may be below.
+    """
+    spells = "if(leaf, substr(word, after + 1) = rest, substr(word, after + 1, length(rest)) = rest)"
+    found = met.where(f"(lengths & shiftleft(1L, length % 64)) <> 0 and {spells}")
+    return found.select("side", "word", F.expr("after + length(rest)").alias("position"), F.col("child").alias("node"), F.when(F.col("leaf"), F.col("child")).alias("near"))
 
 
 def neighbours(words: DataFrame, min_length: int = 1) -> DataFrame:
     """(a, b), a < b: all pairs of distinct words that differ by one inserted, deleted or replaced code point.
 
     ``words`` has distinct words in ``word``; null and empty ones are left out. No word is shorter than
-    ``min_length``: the trie starts at the nodes of half as many characters. Each level is stored in the
-    shared folder; the driver sees its counts. There are as many levels as a word has branching prefixes.
+    ``min_length``: the tries start at the nodes of half as many characters. Each level is stored in the
+    shared folder; the driver sees whether it is empty. There are as many levels as a word has branching prefixes.
     """
     known = words.where("word is not null and word <> ''").select("word")
-    start = min_length // 2
     sides = known.select(F.lit(0).alias("side"), "word").unionAll(known.select(F.lit(1).alias("side"), F.reverse("word").alias("word")))
-    level = store(
-        sides.select("side", "word", F.lit(start).alias("position"), F.expr(f"left(word, {start})").alias("node"), F.lit(0).alias("edits"), F.lit(None).cast("string").alias("near")),
-        "frontier",
-    )
-    found = level.where("near is not null")
-    while True:
-        walking, aside = level.where("edits = 0"), level.where("edits = 1 and near is null")
-        if level.where("near is null").isEmpty():
-            break
-        edges = store(_edges(walking), "trie-edges")
-        level = store(_moved(walking, edges, 0).unionAll(_moved(aside, edges, 1)), "frontier")
-        found = found.unionAll(level.where("near is not null"))
+    start = F.expr(f"({min_length} + side) div 2").cast("int")
+    begun = sides.select("side", "word", start.alias("position"))
+    walking = store(begun.withColumn("node", F.expr("left(word, position)")), "walking")
+    edges = store(_edges(walking), "trie-edges")
+    levels = []
+    while not levels or not walking.isEmpty():
+        on = store(_walked(walking, edges), "walking")
+        below = store(_edges(on), "trie-edges")
+        moved = _stepped(walking, _paths(edges, below))
+        if levels:
+            moved = moved.unionAll(_went_on(levels[-1].where("near is null"), below))
+        levels.append(store(moved, "frontier"))
+        walking, edges = on, below
+    found = reduce(DataFrame.unionAll, levels).where("near is not null")
     turned = [F.when(F.col("side") == 1, F.reverse(c)).otherwise(F.col(c)) for c in ("word", "near")]
     return found.select(F.least(*turned).alias("a"), F.greatest(*turned).alias("b")).distinct()
 
