@@ -8,11 +8,15 @@ from collections import defaultdict
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from tripledger.llm import alignment
-from tripledger.llm.alignment import Pieces, aligned_documents, group_ends
+from tripledger.llm import alignment, tables
+from tripledger.llm.alignment import Pieces, aligned_documents, group_ends, packed, unpacked
+from tripledger.llm.tables import store
 from tripledger.llm.tokens import default_path
+from tripledger.sources.settings import with_settings
 
 BYTE, PIECE = default_path("byte_bpe_50k.json"), default_path("piece_bpe_32k.model")
 TEXTS = [
@@ -156,3 +160,45 @@ def test_query_against_plain_alignment(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     found = sorted((tuple(r) for r in alignment.op13_pointer_jumping_alignment(spark, "/root/testdata/sf0.001").collect()), key=str)
     assert found == plain_rows([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_no_row_has_a_whole_chunk(spark, monkeypatch):
+    """400 documents make one chunk; tasks and workers get them some at a time."""
+    largest, chunks = {}, {}
+
+    def measured(df, name):
+        kept = store(df, name)
+        if name == "aligned":
+            chunks[name] = kept.agg(F.countDistinct("chunk")).first()[0]
+            with with_settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}):
+                sizes = kept.mapInArrow(lambda found: (pa.RecordBatch.from_pylist([{"n": b.num_rows, "size": b.nbytes}]) for b in found), "n long, size long")
+                largest[name] = tuple(sizes.agg(F.max("n"), F.max("size")).first())
+        return kept
+
+    monkeypatch.setattr(alignment, "store", measured)
+    monkeypatch.setattr(alignment, "BATCH_CHARS", 10_000)
+    draw, words = random.Random(6), [word for t in TEXTS if t for word in t.split() if len(word) < 20 and word != "▁"]
+    rows = [(i, " ".join(draw.choice(words) for _ in range(200))) for i in range(400)]
+    found = found_rows(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert chunks["aligned"] == 1 and largest["aligned"][0] == 1
+    assert largest["aligned"][1] < 100_000
+    assert found == plain_rows(rows)
+
+
+@pytest.mark.parametrize("rows_at_once", [1, 3])
+def test_chunks_that_share_or_leave_a_batch(spark, rows_at_once, monkeypatch):
+    for name, value in {"CHUNK_DOCS": 5, "CHUNK_CHARS": 600, "BATCH_CHARS": 200, "COUNTED_PAIRS": 7}.items():
+        monkeypatch.setattr(alignment, name, value)
+    monkeypatch.setattr(tables, "BATCH_ROWS", rows_at_once)
+    rows = [*enumerate(TEXTS), (None, None), (None, ""), *((i, None) for i in range(50, 60)), *((i, f"{i} {i % 7} brown") for i in range(60, 90))]
+    with with_settings(spark, {"spark.sql.shuffle.partitions": "2"}):
+        assert found_rows(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)) == plain_rows(rows)
+
+
+def test_packed_numbers_come_back():
+    for most in (0, 1, 255, 256, 65_535, 65_536, 2**32 - 1, 2**32, 2**62):
+        values = np.array([0, most, most // 2, 1 if most else 0], np.int64)
+        assert np.array_equal(unpacked(packed(values), 4), values)
+        assert unpacked(packed(values), 4).dtype == np.int64
+    assert len(packed(np.array([3, 255]))) == 2 and len(packed(np.array([3, 256]))) == 4
+    assert len(unpacked(packed(np.zeros(0, np.int64)), 0)) == 0

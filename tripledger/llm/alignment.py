@@ -9,7 +9,9 @@ group, which labels the group.
 Linked are all pairs of tokens, one of each sequence, of one group; a pair of ids counts the documents that
 hold it. Tasks read documents in chunks and write, for each chunk, its distinct pairs once with their
 document counts, and for each document places in that list. Counts are added up over chunks, and go back to
-each chunk as one list. So what is shuffled are distinct pairs of chunks, never links of documents.
+each chunk before its documents. So what is shuffled are distinct pairs of chunks, never links of documents.
+The documents of a chunk are in several rows, so that no task or worker holds a whole chunk of them, let alone
+all chunks of a partition.
 """
 
 from __future__ import annotations
@@ -25,11 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripledger.llm.tables import store, table
+from tripledger.llm.tables import small_batches, store, table
 from tripledger.llm.tokens import default_path, encoder
+from tripledger.sources.settings import with_settings
 
-# Documents and characters of a chunk, and characters aligned at once; a longer document is one of its own.
+# Documents and characters of a chunk, and characters aligned at once and kept in a row; a longer document is one of its own.
 CHUNK_DOCS, CHUNK_CHARS, BATCH_CHARS = 4000, 4_000_000, 250_000
+# Rows that Spark's Parquet reader holds at once, of texts or of aligned documents; pairs of a chunk whose counts are in a row.
+READ_ROWS, COUNTED_PAIRS = 64, 32_768
 # Words whose ids a worker keeps, for each tokenizer.
 KEPT = 200_000
 # Links of a group that are spelled out one by one; larger groups go by their distinct ids.
@@ -239,10 +244,8 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return _aligners[path_a, path_b]
 
 
-_PARTS = {
-    "chunk": "long",
-    "pairs": "array<long>",
-    "documents": "array<long>",
+# Of one row's documents; places in the chunk's list of pairs, and links, are packed.
+_DOCUMENTS = {
     "doc_ids": "array<long>",
     "n_a": "array<long>",
     "n_b": "array<long>",
@@ -250,9 +253,26 @@ _PARTS = {
     "n_links": "array<long>",
     "digests": "array<string>",
     "ends": "array<long>",
-    "places": "array<int>",
-    "times": "array<long>",
+    "places": "binary",
+    "times": "binary",
+}
+_PARTS = {
+    "chunk": "long",
+    "pairs": "array<long>",
+    "documents": "array<long>",
+    "docs": f"struct<{', '.join(f'{name}: {kind}' for name, kind in _DOCUMENTS.items())}>",
 }
+_ARROW = {"long": pa.int64(), "array<long>": pa.list_(pa.int64()), "array<string>": pa.list_(pa.string()), "binary": pa.binary()}
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 on, each in as few bytes as the largest needs: 1, 2, 4 or 8."""
+    return values.astype(np.min_scalar_type(values.max(initial=0)).newbyteorder("<")).tobytes()
+
+
+def unpacked(data: bytes | pa.Buffer, n: int) -> np.ndarray:
+    """The n numbers of :func:`packed`."""
+    return np.frombuffer(data, f"<u{len(data) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
 
 
 def _batches(rows: Iterator[tuple[int | None, str | None]], docs: int, chars: int) -> Iterator[list[tuple[int | None, str | None]]]:
@@ -268,30 +288,29 @@ def _batches(rows: Iterator[tuple[int | None, str | None]], docs: int, chars: in
 
 
 def chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """One row per chunk of documents: its distinct pairs with the number of documents that hold each, and, in
-    document order, ids, sizes and digests, and where each document's pairs stand in that list, with links."""
+    """Rows of chunks of documents. Each has some documents: in their order ids, sizes and digests, and where each one's
+    pairs stand in the list of the chunk, with links. A chunk's first row has that list: its distinct pairs with the
+    number of documents that hold each."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         align_texts, part = aligner(path_a, path_b), TaskContext.get().partitionId()
         rows = ((i, t) for batch in batches for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True))
         for number, chunk in enumerate(_batches(rows, CHUNK_DOCS, CHUNK_CHARS)):
-            found = [align_texts([text for _, text in some]) for some in _batches(iter(chunk), CHUNK_DOCS, BATCH_CHARS)]
-            every = np.concatenate([one.pair for one in found])
-            pairs, documents = np.unique(every, return_counts=True)
-            per_doc = np.concatenate([np.bincount(one.doc, minlength=len(one.n_a)) for one in found])
-            values = [
-                part << 33 | number,
-                pairs,
-                documents,
-                [doc_id for doc_id, _ in chunk],
-                *(np.concatenate([getattr(one, name) for one in found]) for name in ("n_a", "n_b", "n_groups", "n_links")),
-                [digest for one in found for digest in one.digests],
-                np.cumsum(per_doc),
-                np.searchsorted(pairs, every).astype(np.int32),
-                np.concatenate([one.times for one in found]),
-            ]
-            kinds = [pa.int64(), *[pa.list_(pa.int64())] * 7, pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(values, kinds, strict=True)], list(_PARTS))
+            found = [([i for i, _ in some], align_texts([text for _, text in some])) for some in _batches(iter(chunk), CHUNK_DOCS, BATCH_CHARS)]
+            pairs, documents = np.unique(np.concatenate([one.pair for _, one in found]), return_counts=True)
+            for at, (doc_ids, one) in enumerate(found):
+                values = [
+                    doc_ids,
+                    *(getattr(one, name) for name in ("n_a", "n_b", "n_groups", "n_links")),
+                    one.digests,
+                    np.cumsum(np.bincount(one.doc, minlength=len(one.n_a))),
+                    packed(np.searchsorted(pairs, one.pair)),
+                    packed(one.times),
+                ]
+                some = pa.StructArray.from_arrays([pa.array([v], _ARROW[kind]) for v, kind in zip(values, _DOCUMENTS.values(), strict=True)], list(_DOCUMENTS))
+                listed = [None, None] if at else [pairs, documents]
+                columns = [pa.array([part << 33 | number], pa.int64()), *(pa.array([v], pa.list_(pa.int64())) for v in listed), some]
+                yield pa.RecordBatch.from_arrays(columns, list(_PARTS))
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return narrow.mapInArrow(align, ", ".join(f"{name} {kind}" for name, kind in _PARTS.items()))
@@ -313,32 +332,54 @@ def aligned_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     zeros and an empty digest. Repeated rows are documents of their own; null doc_ids are kept; an empty
     table gives no row.
     """
-    aligned = store(chunks(docs, path_a, path_b), "aligned")
-    counts = store(pair_counts(aligned), "pair-counts")
+    spark = docs.sparkSession
+    with small_batches(spark), with_settings(spark, {"spark.sql.parquet.columnarReaderBatchSize": str(READ_ROWS)}):
+        aligned = store(chunks(docs, path_a, path_b), "aligned")
+        counts = store(pair_counts(aligned), "pair-counts")
+        # Stored, as whoever uses the result may have other settings.
+        return store(_counted(aligned, counts), "aligned-documents")
+
+
+def _counted(aligned: DataFrame, counts: DataFrame) -> DataFrame:
+    """The documents with the counts of their pairs. A task gets the counts of a chunk's pairs, then its documents."""
     places = aligned.select("chunk", F.posexplode("pairs").alias("place", "pair"))
-    known = places.join(counts, "pair").groupBy("chunk").agg(F.collect_list(F.struct("place", "n", "best")).alias("known"))
-    together = aligned.drop("pairs", "documents").join(known, "chunk", "left")
+    lists = places.join(counts, "pair").groupBy("chunk", F.expr(f"place div {COUNTED_PAIRS}")).agg(F.collect_list(F.struct("place", "n", "best")).alias("known"))
+    known = lists.select("chunk", "known", F.lit(None).cast(aligned.schema["docs"].dataType).alias("docs"))
+    rows = aligned.select("chunk", F.lit(None).cast(lists.schema["known"].dataType).alias("known"), "docs")
+    together = known.unionAll(rows).repartition("chunk").sortWithinPartitions("chunk", F.col("docs").isNotNull())
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, parts, counted = None, [], None
         for batch in batches:
-            for k in range(batch.num_rows):
-                column = {name: batch.column(name)[k].values for name in batch.schema.names if name != "chunk"}
-                ends = column["ends"].to_numpy()
-                counted = np.zeros((2, 0), np.int64)
-                if column["known"] is not None and len(column["known"]):
-                    place, n, best = (column["known"].field(i).to_numpy(zero_copy_only=False) for i in range(3))
-                    counted = np.zeros((2, len(place)), np.int64)
+            numbers, known, docs = (batch.column(name) for name in ("chunk", "known", "docs"))
+            for k, number in enumerate(numbers.to_pylist()):
+                if number != chunk:
+                    chunk, parts, counted = number, [], None
+                if known[k].is_valid:
+                    parts.append([known[k].values.field(i).to_numpy(zero_copy_only=False) for i in range(3)])
+                    continue
+                if counted is None:
+                    place, n, best = (np.concatenate(part) for part in zip(*parts, strict=True)) if parts else [np.zeros(0, np.int64)] * 3
+                    counted, parts = np.zeros((2, len(place)), np.int64), []
                     counted[0, place], counted[1, place] = n, best
-                places, times = column["places"].to_numpy(), column["times"].to_numpy()
-                # Running sums, read where documents end.
-                sums = [np.concatenate([[0], np.cumsum(row[places] * times)]) for row in counted]
-                starts = np.concatenate([[0], ends[:-1]])
-                made = [pa.array(s[ends] - s[starts], pa.int64()) for s in sums]
-                kept = [column[name] for name in ("doc_ids", "n_a", "n_b", "n_groups", "n_links")]
-                yield pa.RecordBatch.from_arrays([*kept, made[1], made[0], column["digests"]], names)
-
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-    return together.mapInArrow(total, ", ".join(f"{name} {'string' if name == 'groups_sha256' else 'long'}" for name in names))
+                yield _totals(docs[k], counted)
+
+    return together.mapInArrow(total, ", ".join(f"{name} {'string' if name == 'groups_sha256' else 'long'}" for name in _TOTALS))
+
+
+_TOTALS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+def _totals(docs: pa.StructScalar, counted: np.ndarray) -> pa.RecordBatch:
+    """Of one row's documents; ``counted`` has documents and best of each place of the chunk's list."""
+    ends = docs["ends"].values.to_numpy()
+    places, times = (unpacked(docs[name].as_buffer(), int(ends[-1])) for name in ("places", "times"))
+    # Running sums, read where documents end.
+    sums = [np.concatenate([[0], np.cumsum(row[places] * times)]) for row in counted]
+    starts = np.concatenate([[0], ends[:-1]])
+    made = [pa.array(s[ends] - s[starts], pa.int64()) for s in sums]
+    kept = [docs[name].values for name in ("doc_ids", "n_a", "n_b", "n_groups", "n_links")]
+    return pa.RecordBatch.from_arrays([*kept, made[1], made[0], docs["digests"].values], _TOTALS)
 
 
 def op13_pointer_jumping_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
